@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from odsflow.plans import clickstream, products, sales, trips
+from odsflow.plans import products, sales, trips
 from odsflow.plans import dashboards as d
 from odsflow.registry.base import add
 
@@ -209,11 +209,6 @@ def _(t):
     return d.funnel_by(t.events(), ["page_type"], F.count(F.lit(1)))
 
 
-@add("window_columns_read", "SELECT event_date, event_type, total_events, unique_users FROM window_summary")
-def _(t):
-    return clickstream.window_summary(t.events()).select("event_date", "event_type", "total_events", "unique_users")
-
-
 # -- trips -------------------------------------------------------------------
 
 

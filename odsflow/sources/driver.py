@@ -274,6 +274,45 @@ class DriverTables:
             F.col("ts").cast("timestamp").alias("timestamp"),
         )
 
+    def user_changes(self) -> DataFrame:
+        """Events as changes of the user that caused them, in messages of a change topic.
+
+        ``error`` deletes the user and sends only the key, other types write the row.
+        Half of the messages have a ``payload`` around them. Depending on the number
+        ``k``: 0 has neither image, 1 has no value (a tombstone), 2 has no key.
+        """
+        k, kind = self._prop(), F.col("event_type")
+        micros = F.unix_micros(F.col("ts").cast("timestamp"))
+        key = F.when(k == 2, F.lit("null")).otherwise(F.col("user_id").cast("string"))
+        row = F.concat(
+            F.lit('{"id": '), key,
+            F.lit(', "age": '), k.cast("string"),
+            F.lit(', "traffic_source": '), _quoted(kind),
+            F.lit(', "latitude": '), F.col("value").cast("decimal(18,2)").cast("string"),
+            F.lit(', "created_at": '), micros.cast("string"),
+            F.lit(', "updated_at": '), (micros + 1).cast("string"),
+            F.lit("}"),
+        )
+        only_key = F.concat(F.lit('{"id": '), key, F.lit("}"))
+        null = F.lit("null")
+        deletes = kind == "error"
+        body = F.concat(
+            F.lit('{"before": '), F.when(deletes & (k != 0), only_key).otherwise(null),
+            F.lit(', "after": '), F.when(deletes | (k == 0), null).otherwise(row),
+            F.lit(', "op": '),
+            F.when(deletes, F.lit('"d"')).when(kind == "signup", F.lit('"c"')).otherwise(F.lit('"u"')),
+            F.lit("}"),
+        )
+        wrapped = F.when(k % 2 == 0, F.concat(F.lit('{"payload": '), body, F.lit("}"))).otherwise(body)
+        return self.raw("events").select(
+            F.col("user_id").cast("string").alias("key"),
+            F.when(k != 1, wrapped).cast("binary").alias("value"),
+            F.lit("cdc.demo.users").alias("topic"),
+            (F.col("user_id") % 4).cast("int").alias("partition"),
+            F.col("event_id").alias("offset"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+        )
+
     @staticmethod
     def _prop() -> Column:
         return F.get_json_object("props", "$.k").cast("bigint")
