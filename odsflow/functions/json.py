@@ -1,0 +1,17 @@
+"""JSON decoding."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def decode_once(text: str | Column, schema: T.StructType, name: str) -> Column:
+    """Decoded JSON as column ``name``, parsed a single time per row.
+
+    A filter on a plain ``from_json`` column is moved below it, where every field it tests
+    parses the text again. Filters do not move below a generated column, and a generator over
+    a one-element array gives each row once.
+    """
+    return F.explode(F.array(F.from_json(text, schema))).alias(name)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from odsflow.functions.json import decode_once
 from odsflow.schemas import TIME_COLUMNS, ChangeFeed
 
 DELETED = "is_deleted"
@@ -27,14 +28,16 @@ def decode(messages: DataFrame, feed: ChangeFeed, *keep: str) -> DataFrame:
 
     Tombstones (no value) are dropped. ``keep`` names topic columns to carry along.
     """
-    decoded = messages.where(F.col("value").isNotNull()).withColumn(
-        "w", F.from_json(F.col("value").cast("string"), _envelope(feed.row))
+    decoded = (
+        messages.where(F.col("value").isNotNull())
+        .select(*keep, F.col("value").cast("string").alias("raw_message"))
+        .select(*keep, "raw_message", decode_once("raw_message", _envelope(feed.row), "w"))
     )
     parts = [
         F.coalesce(F.col(f"w.payload.{name}"), F.col(f"w.{name}")).alias(name)
         for name in ("before", "after", "op", "ts_ms")
     ]
-    return decoded.select(*keep, F.col("value").cast("string").alias("raw_message"), *parts)
+    return decoded.select(*keep, "raw_message", *parts)
 
 
 def is_rejected(feed: ChangeFeed) -> Column:

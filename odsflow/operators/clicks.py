@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odsflow.functions import clicks as c
+from odsflow.functions.json import decode_once
 from odsflow.schemas import BAD_FIELDS, BAD_JSON, BAD_TIME, CLICK, EVENTS
 
 WATERMARK = "10 minutes"
@@ -21,7 +22,7 @@ def parse(messages: DataFrame) -> DataFrame:
     return (
         messages.where(F.col("value").isNotNull())
         .select(text.alias("raw_message"))
-        .withColumn("data", F.from_json("raw_message", CLICK))
+        .select("raw_message", decode_once("raw_message", CLICK, "data"))
         .withColumn("event_timestamp", F.try_to_timestamp("data.created_at"))
     )
 

@@ -13,11 +13,10 @@ def scan_bytes(df: DataFrame) -> int | None:
     by projections, filters and joins that keep that key, this bounds what a
     broadcast would ship, up to the compression of the files.
     """
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
-    except AttributeError:
+    if not hasattr(df, "_jdf"):  # Spark Connect keeps plans on the server
         return None
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:

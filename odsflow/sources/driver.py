@@ -199,7 +199,7 @@ class DriverTables:
     # -- clicks --------------------------------------------------------------
 
     def events(self) -> DataFrame:
-        kind, k = F.col("event_type"), self._prop()
+        kind, k = F.col("event_type"), F.col("k")
         event_type = (
             F.when(kind == "view", "product")
             .when(kind == "click", "cart")
@@ -209,7 +209,7 @@ class DriverTables:
         )
         lag = F.col("value").cast("decimal(18,6)")
         ingested = F.col("ts") + F.make_dt_interval(secs=lag)
-        return self.raw("events").select(
+        return self._raw_events().select(
             "event_id",
             F.col("ts").alias("event_timestamp"),
             "user_id",
@@ -240,8 +240,7 @@ class DriverTables:
         session out, 2 makes the id a word, 3 makes the time unreadable, 4 sends
         empty text and 5 sends no value at all.
         """
-        k = self._prop()
-        kind = F.col("event_type")
+        k, kind = F.col("k"), F.col("event_type")
         event_type = (
             F.when(kind == "view", "product")
             .when(kind == "click", "cart")
@@ -265,7 +264,7 @@ class DriverTables:
             F.when(k == 0, F.lit("")).otherwise("}"),
         )
         text = F.when(k == 5, None).when(k == 4, "").otherwise(body)
-        return self.raw("events").select(
+        return self._raw_events().select(
             _session_id().alias("key"),
             text.cast("binary").alias("value"),
             F.lit("clickstream-events").alias("topic"),
@@ -281,7 +280,7 @@ class DriverTables:
         Half of the messages have a ``payload`` around them. Depending on the number
         ``k``: 0 has neither image, 1 has no value (a tombstone), 2 has no key.
         """
-        k, kind = self._prop(), F.col("event_type")
+        k, kind = F.col("k"), F.col("event_type")
         micros = F.unix_micros(F.col("ts").cast("timestamp"))
         key = F.when(k == 2, F.lit("null")).otherwise(F.col("user_id").cast("string"))
         row = F.concat(
@@ -304,7 +303,7 @@ class DriverTables:
             F.lit("}"),
         )
         wrapped = F.when(k % 2 == 0, F.concat(F.lit('{"payload": '), body, F.lit("}"))).otherwise(body)
-        return self.raw("events").select(
+        return self._raw_events().select(
             F.col("user_id").cast("string").alias("key"),
             F.when(k != 1, wrapped).cast("binary").alias("value"),
             F.lit("cdc.demo.users").alias("topic"),
@@ -313,12 +312,13 @@ class DriverTables:
             F.col("ts").cast("timestamp").alias("timestamp"),
         )
 
-    @staticmethod
-    def _prop() -> Column:
-        return F.get_json_object("props", "$.k").cast("bigint")
+    def _raw_events(self) -> DataFrame:
+        """Events with the number in ``props`` as ``k``."""
+        return self.raw("events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
-    def _uri(self) -> Column:
-        k, kind = self._prop().cast("string"), F.col("event_type")
+    @staticmethod
+    def _uri() -> Column:
+        k, kind = F.col("k").cast("string"), F.col("event_type")
         return (
             F.when(kind == "view", F.concat(F.lit("/product/"), k))
             .when(kind == "click", "/cart")
@@ -354,7 +354,7 @@ class DriverTables:
             F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.col("value")).cast("decimal(18,2)")
         )
         hour, weekday = F.hour("ts"), F.weekday("ts") + 1
-        return self.raw("events").select(
+        return self._raw_events().select(
             F.to_date("ts").alias("date"),
             F.concat(F.lit("V"), F.col("user_id").cast("string")).alias("vehicle"),
             (F.col("user_id") % ROUTES).cast("string").alias("route_no"),
@@ -370,7 +370,7 @@ class DriverTables:
             .alias("speed_level"),
             F.when(speed > 0, 1).otherwise(0).alias("is_moving"),
             F.when(speed > 0, 0).otherwise(1).alias("is_stopped"),
-            (self._prop() / F.lit(100.0)).alias("x"),
+            (F.col("k") / F.lit(100.0)).alias("x"),
             (F.col("user_id") / F.lit(100.0)).alias("y"),
             F.col("ts").alias("updated_at"),
         )
