@@ -11,7 +11,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from odsflow.registry import QUERIES
@@ -38,8 +37,6 @@ def main() -> None:
     if names == ["all"]:
         names = list(QUERIES)
     spark = local_session(cores, "odsflow-bench")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="odsflow-bench-"))
     times = {}
     for name in names:
         taken = []

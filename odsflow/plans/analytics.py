@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from odsflow.functions.measures import count_where, mean, percent, ratio
 from odsflow.functions.times import Moment, recent
 from odsflow.operators.joins import fits_broadcast, lookup_join
-from odsflow.plans.sales import sales_summary
+from odsflow.plans.sales import sales_summary, since_newest_hours
 
 # -- recent activity ---------------------------------------------------------
 
@@ -85,7 +85,7 @@ def latest_hours(items: DataFrame, products: DataFrame, users: DataFrame, top: i
     """Newest hours, one row each. Orders are counted from the items, not added up."""
     measures = ("total_orders", "total_revenue", "total_profit", "returned_items")
     return (
-        sales_summary(items, products, users, ("order_hour",), measures)
+        sales_summary(since_newest_hours(items, top), products, users, ("order_hour",), measures)
         .orderBy(F.desc("order_hour"))
         .limit(top)
         .withColumn("profit_margin_percent", percent(F.col("total_profit"), F.col("total_revenue")))

@@ -133,9 +133,30 @@ def sales_summary(
         items = lookup_join(items, products.select("product_id", "category", "department", "cost"), "product_id")
     if "user" in needs:
         items = lookup_join(items, users.select("user_id", "country", "gender"), "user_id")
-    return items.groupBy(*[_HOURLY_KEYS[key][1]().alias(key) for key in keys]).agg(
+    # The hour implies the date, so the date need not widen the grouping key.
+    implied = {"order_date"} if {"order_hour", "order_date"} <= set(keys) else set()
+    grouped = items.groupBy(*[_HOURLY_KEYS[key][1]().alias(key) for key in keys if key not in implied]).agg(
         *[_HOURLY_MEASURES[m][1]().alias(m) for m in measures]
     )
+    if implied:
+        grouped = grouped.withColumn("order_date", F.col("order_hour").cast("date"))
+    return grouped.select(*keys, *measures)
+
+
+def since_newest_hours(items: DataFrame, hours: int) -> DataFrame:
+    """Items of the newest ``hours`` that have any.
+
+    The bound is a scalar subquery over the times alone, so that everything after it, joins
+    included, sees only those hours and stored tables skip older files.
+    """
+    newest = (
+        items.where(F.col("created_at").isNotNull())
+        .select(F.date_trunc("hour", F.col("created_at").cast("timestamp")).cast("timestamp_ntz").alias("hour"))
+        .distinct()
+        .orderBy(F.desc("hour"))
+        .limit(hours)
+    )
+    return items.where(F.col("created_at") >= newest.agg(F.min("hour")).scalar())
 
 
 def _profit(cost: str) -> Column:

@@ -72,9 +72,9 @@ _SALES_ITEMS = ("id", "order_id", "user_id", "product_id", "status", "created_at
     ORDER BY order_hour DESC, product_category, product_department, user_country, user_gender LIMIT 24""",
 )
 def _(t):
-    hourly = sales.sales_summary(
-        t.order_items(*_SALES_ITEMS), t.products(), t.users("user_id", "country", "gender")
-    )
+    # 24 rows come from no more than 24 hours.
+    items = sales.since_newest_hours(t.order_items(*_SALES_ITEMS), 24)
+    hourly = sales.sales_summary(items, t.products(), t.users("user_id", "country", "gender"))
     return analytics.latest_hourly_rows(hourly)
 
 

@@ -27,7 +27,7 @@ def build_session(app_name: str = "odsflow", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
-def local_session(cores: int = 8, app_name: str = "odsflow-local") -> SparkSession:
+def local_session(cores: int = 8, app_name: str = "odsflow-local", **extra: str) -> SparkSession:
     """Session for tests and the benchmark: one JVM, one shuffle partition per core."""
     spark = build_session(
         app_name,
@@ -36,7 +36,9 @@ def local_session(cores: int = 8, app_name: str = "odsflow-local") -> SparkSessi
             "spark.sql.shuffle.partitions": str(cores),
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.catalogImplementation": "in-memory",
+            **extra,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

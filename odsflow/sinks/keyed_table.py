@@ -56,9 +56,10 @@ class KeyedTable:
         return base if log is None else merge_changes(base, log, [self.key], ORDER)
 
     def compact(self) -> int | None:
-        """Write base and log as a new base. Readers see it once it is complete."""
-        logged = numbered(self.spark, f"{self.path}/log", "batch_id")
-        if not logged:
+        """Write base and log as a new base, if there is anything new in the log. Readers see it
+        once it is complete."""
+        logged, version = numbered(self.spark, f"{self.path}/log", "batch_id"), self._base_version()
+        if not logged or (version is not None and logged[-1] <= version):
             return None
         self._write_base(self.read(), logged[-1])
         return logged[-1]
