@@ -30,8 +30,9 @@ def recent(
 
     ``date_column`` names the partition column; bounding it too is what prunes partitions.
     """
-    end = latest(df, column) if as_of is None else as_moment(as_of)
-    start = end - F.expr(f"INTERVAL {interval}")
+    back = F.expr(f"INTERVAL {interval}")
+    # The subtraction is part of the subquery: a bare subquery is what the scan can push down.
+    start = df.agg(F.max(column) - back).scalar() if as_of is None else as_moment(as_of) - back
     kept = df.where(F.col(column) >= start)
     if date_column:
         kept = kept.where(F.col(date_column) >= start.cast("date"))

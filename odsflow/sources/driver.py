@@ -23,7 +23,9 @@ ROUTES = 20
 
 
 def _money(column: str | Column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("decimal(18,2)")
+    # A line costs at most 50 times a unit price below 2,100, and a larger amount would raise
+    # an error. Spark multiplies and sums decimals of up to eight digits as whole numbers.
+    return (F.col(column) if isinstance(column, str) else column).cast("decimal(8,2)")
 
 
 def _pick_name(names: tuple[str, ...], number: Column) -> Column:
@@ -149,7 +151,7 @@ class DriverTables:
             status.isin("Complete", "Returned"), shipped + F.make_dt_interval(F.col("l_linenumber") + 1)
         )
         returned = F.when(status == "Returned", shipped + F.make_dt_interval(F.col("l_linenumber") + 2))
-        one = F.lit(1).cast("decimal(18,2)")
+        one = F.lit(1).cast("decimal(8,2)")
         made = {
             "id": _line_id(F.col("order_id")),
             "order_id": F.col("order_id"),
@@ -381,7 +383,7 @@ def _line_id(order_id: Column) -> Column:
 
 
 def _session_id() -> Column:
-    return F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd"))
+    return F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string"))
 
 
 def _quoted(text: Column) -> Column:
