@@ -214,3 +214,37 @@ def test_throughput_of_a_steady_stream(spark):
     assert tuple(found) == (6, 1.0, 0.0, True)
     uneven = steady.where("minute(event_timestamp) < 10 OR second(event_timestamp) = 0")
     assert analytics.throughput(uneven, "10 minutes").first().is_stable is False
+
+
+# -- hot keys in a join that cannot be broadcast ------------------------------
+
+
+@pytest.mark.parametrize("hot_key", ["7", "NULL"])
+def test_hot_join_key_is_split(spark, no_broadcast, hot_key):
+    """A key, or the lack of one, that a third of the rows share is spread over tasks."""
+    from odsflow.operators.joins import lookup_join
+
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        fact = spark.range(0, 60000, 1, 8).select(
+            F.expr(f"CASE WHEN id % 3 = 0 THEN {hot_key} ELSE id % 900 END").cast("bigint").alias("k"),
+            F.col("id").alias("row"),
+            F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        )
+        dim = spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("double"))
+        joined = lookup_join(fact, dim, "k").select("row", "double")
+        found = joined.collect()
+        assert "skew=true" in plan(joined)  # the final plan, after adaptive execution
+        expected = {n: (None if hot_key == "NULL" else 14) if n % 3 == 0 else n % 900 * 2 for n in range(60000)}
+        assert {r.row: r.double for r in found} == expected
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
