@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odsflow.functions.measures import count_where, ratio
-from odsflow.plans.sales import is_kept
+from odsflow.plans.sales import is_kept, sum_kept
 
 
 def product_sales(items: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def product_sales(items: DataFrame) -> DataFrame:
         F.count("id").alias("total_items_ordered"),
         count_where(is_kept()).alias("net_items_sold"),
         F.sum(price).alias("total_revenue"),
-        F.sum(F.when(is_kept(), price).otherwise(price - price)).alias("net_revenue"),
+        sum_kept(F.sum(F.when(is_kept(), price))).alias("net_revenue"),
         count_where(F.col("status") == "Returned").alias("total_returned_items"),
         count_where(F.col("status") == "Cancelled").alias("total_cancelled_items"),
     )

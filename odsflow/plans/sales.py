@@ -104,13 +104,13 @@ _HOURLY_MEASURES = {
     "total_items_ordered": (False, lambda: F.count("id")),
     "total_revenue": (False, lambda: F.sum("sale_price")),
     "total_cost": (True, lambda: F.sum("cost")),
-    "total_profit": (True, lambda: F.sum(_profit("cost"))),
+    "total_profit": (True, lambda: _sum_profit(F.lit(True))),
     "total_orders": (False, lambda: F.countDistinct("order_id")),
     "total_customers": (False, lambda: F.countDistinct("user_id")),
     "returned_items": (False, lambda: count_where(F.col("status") == "Returned")),
     "cancelled_items": (False, lambda: count_where(F.col("status") == "Cancelled")),
-    "net_revenue": (False, lambda: _when_kept(F.col("sale_price"))),
-    "net_profit": (True, lambda: _when_kept(_profit("cost"))),
+    "net_revenue": (False, lambda: sum_kept(F.sum(F.when(is_kept(), F.col("sale_price"))))),
+    "net_profit": (True, lambda: sum_kept(_sum_profit(is_kept()))),
 }
 
 
@@ -163,11 +163,19 @@ def _profit(cost: str) -> Column:
     return F.col("sale_price") - F.col(cost)
 
 
+def _sum_profit(condition: Column) -> Column:
+    # Two sums instead of a sum of differences: the columns keep their type, and decimals of
+    # few digits are then added up as whole numbers.
+    known = condition & F.col("sale_price").isNotNull() & F.col("cost").isNotNull()
+    return F.sum(F.when(known, F.col("sale_price"))) - F.sum(F.when(known, F.col("cost")))
+
+
 def is_kept(status: str = "status") -> Column:
     """Neither cancelled nor returned."""
     return ~F.col(status).isin(*UNSOLD_STATUSES)
 
 
-def _when_kept(value: Column) -> Column:
-    # Zero has the type of the value, so that a decimal sum stays a decimal.
-    return F.sum(F.when(is_kept(), value).otherwise(value - value))
+def sum_kept(total: Column) -> Column:
+    """A sum over kept items, to which the others of the group contribute zero."""
+    others = F.count_if(F.coalesce(~is_kept(), F.lit(True)))
+    return F.coalesce(total, F.when(others > 0, F.lit(0)))
