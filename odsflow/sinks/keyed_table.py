@@ -2,18 +2,21 @@
 
 Plain Parquet cannot change a row in place. Rewriting the table for every micro-batch
 would cost as much as the table is large, so a batch only appends its changes to the log.
-Readers apply the log to the base, and a scheduled ``compact`` writes a new base.
+Readers apply the log to the base, and a scheduled ``compact`` folds it in.
+
+The base is divided by ranges of the key. Keys are handed out in order and most changes are
+to recent rows, so a log touches few ranges; ``compact`` rewrites those and leaves the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odsflow.operators.changes import DELETED
-from odsflow.operators.keyed import latest_by_key, merge_changes
-from odsflow.sinks.paths import numbered, remove
+from odsflow.operators.keyed import latest_by_key, merge_changes, without_deleted
+from odsflow.sinks.paths import numbered, parts, remove
 
 #: Order of changes: batches first, then position in the topic. A key always lands in the
 #: same topic partition, so this is the order in which its changes were made.
@@ -21,12 +24,16 @@ ORDER = ("batch_id", "partition", "offset")
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str):
-        self.spark, self.path, self.schema, self.key = spark, path, schema, key
+    """``span`` keys make one range; choose it so that a range is a few files."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, span: int = 1_000_000):
+        self.spark, self.path, self.schema, self.key, self.span = spark, path, schema, key, span
+        deleted = T.StructField(DELETED, T.IntegerType())
+        self._base_schema = T.StructType([*schema.fields, deleted, T.StructField("range", T.LongType())])
         self._log_schema = T.StructType(
             [
                 *schema.fields,
-                T.StructField(DELETED, T.IntegerType()),
+                deleted,
                 T.StructField("partition", T.IntegerType()),
                 T.StructField("offset", T.LongType()),
                 T.StructField("batch_id", T.LongType()),
@@ -34,8 +41,10 @@ class KeyedTable:
         )
 
     def load(self, snapshot: DataFrame) -> None:
-        """Replace the table by a snapshot; batches up to -1 are in it, which is none."""
-        self._write_base(snapshot, -1)
+        """Fill a new table from a snapshot."""
+        if self._version() is not None or self._batches(None):
+            raise ValueError(f"{self.path} holds a table already")
+        self._write_base(snapshot.withColumn(DELETED, F.lit(0)), -1)
 
     def append(self, changes: DataFrame, batch_id: int) -> None:
         """Log one batch. Only the last change of a key within the batch is kept, and a batch
@@ -46,46 +55,75 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         """Current rows."""
-        version = self._base_version()
-        base = (
-            self.spark.createDataFrame([], self.schema)
-            if version is None
-            else self.spark.read.schema(self.schema).parquet(f"{self.path}/base/version={version}")
-        )
-        log = self._log(version)
+        base = without_deleted(self._base()).select(*self.schema.fieldNames())
+        log = self._log()
         return base if log is None else merge_changes(base, log, [self.key], ORDER)
 
     def compact(self) -> int | None:
-        """Write base and log as a new base, if there is anything new in the log. Readers see it
-        once it is complete."""
-        logged, version = numbered(self.spark, f"{self.path}/log", "batch_id"), self._base_version()
-        if not logged or (version is not None and logged[-1] <= version):
+        """Fold the log into the base, if there is anything new in it.
+
+        The new version holds the touched ranges only. A deleted key stays in it as a mark
+        until its range is next rewritten, so that a range never vanishes and lets an older
+        version show through. Readers see a version once it is complete.
+        """
+        log, batches = self._log(), self._batches(self._version())
+        if log is None:
             return None
-        self._write_base(self.read(), logged[-1])
-        return logged[-1]
+        # Range numbers, no more than the base has ranges.
+        touched = [row["range"] for row in log.select(self._range().alias("range")).distinct().collect()]
+        newest = latest_by_key(log, [self.key], ORDER)
+        base = self._base()
+        kept = without_deleted(base.where(base["range"].isin(touched)))
+        kept = kept.join(log.select(self.key), self.key, "left_anti").withColumn(DELETED, F.lit(0))
+        columns = [*self.schema.fieldNames(), DELETED]
+        self._write_base(kept.select(*columns).unionByName(newest.select(*columns)), batches[-1])
+        return batches[-1]
 
     def vacuum(self) -> None:
-        """Remove bases and log batches that the newest base replaces. Not while readers that
-        started before the last ``compact`` are still running."""
-        version = self._base_version()
+        """Remove ranges that a newer version replaces, and log batches the base contains. Not
+        while readers that started before the last ``compact`` are still running."""
+        version, current = self._version(), self._current_ranges()
         if version is None:
             return
-        for old in numbered(self.spark, f"{self.path}/base", "version", complete=False):
-            if old < version:
-                remove(self.spark, f"{self.path}/base/version={old}")
+        for old, number in parts(self.spark, f"{self.path}/base", "version", "range"):
+            if current.get(number, old) > old:
+                remove(self.spark, f"{self.path}/base/version={old}/range={number}")
         for batch in numbered(self.spark, f"{self.path}/log", "batch_id", complete=False):
             if batch <= version:
                 remove(self.spark, f"{self.path}/log/batch_id={batch}")
 
-    def _base_version(self) -> int | None:
+    def _range(self) -> Column:
+        # Whole-number arithmetic: a key need not fit a double.
+        return F.expr(f"(`{self.key}` - pmod(`{self.key}`, {self.span})) div {self.span}")
+
+    def _version(self) -> int | None:
+        """Last batch that the base contains; -1 stands for the snapshot."""
         versions = numbered(self.spark, f"{self.path}/base", "version")
         return versions[-1] if versions else None
 
-    def _log(self, after: int | None) -> DataFrame | None:
-        # Only complete batches: one that is being written is not read by half.
-        batches = [
-            b for b in numbered(self.spark, f"{self.path}/log", "batch_id") if after is None or b > after
-        ]
+    def _current_ranges(self) -> dict[int, int]:
+        """Range number to the newest complete version that holds it."""
+        complete = set(numbered(self.spark, f"{self.path}/base", "version"))
+        found = parts(self.spark, f"{self.path}/base", "version", "range")
+        return {number: version for version, number in sorted(found) if version in complete}
+
+    def _base(self) -> DataFrame:
+        ranges = self._current_ranges()
+        if not ranges:
+            return self.spark.createDataFrame([], self._base_schema)
+        return (
+            self.spark.read.schema(self._base_schema)
+            .option("basePath", f"{self.path}/base")
+            .parquet(*[f"{self.path}/base/version={v}/range={n}" for n, v in ranges.items()])
+        )
+
+    def _batches(self, after: int | None) -> list[int]:
+        """Complete batches after a version: one that is being written is not read by half."""
+        logged = numbered(self.spark, f"{self.path}/log", "batch_id")
+        return [batch for batch in logged if after is None or batch > after]
+
+    def _log(self) -> DataFrame | None:
+        batches = self._batches(self._version())
         if not batches:
             return None
         return (
@@ -95,6 +133,15 @@ class KeyedTable:
         )
 
     def _write_base(self, rows: DataFrame, version: int) -> None:
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.mode(
-            "overwrite"
-        ).parquet(f"{self.path}/base/version={version}")
+        typed = rows.select(
+            *[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
+            F.col(DELETED),
+            self._range().alias("range"),
+        )
+        (
+            typed.hint("rebalance", "range")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("range")
+            .parquet(f"{self.path}/base/version={version}")
+        )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from odsflow.operators import changes, keyed
 from odsflow.schemas import CHANGE_FEEDS
 from odsflow.sinks.append import read_batches
-from odsflow.sinks.paths import numbered
+from odsflow.sinks.paths import numbered, parts
 from odsflow.streaming.changes import ErrorBudgetExceeded, apply_batch, keyed_table
 
 CENTRES, ITEMS = CHANGE_FEEDS["distribution_centers"], CHANGE_FEEDS["order_items"]
@@ -87,10 +87,48 @@ def test_batching_and_compaction_do_not_matter(spark, tmp_path, cuts):
     table.compact()
     table.vacuum()
     assert state(table) == STATES[-1]
-    assert len(numbered(spark, f"{tmp_path}/{CENTRES.table}/base", "version")) == 1
     assert numbered(spark, f"{tmp_path}/{CENTRES.table}/log", "batch_id") == []
 
 
+def test_compaction_rewrites_only_touched_ranges(spark, tmp_path):
+    table = keyed_table(spark, str(tmp_path), CENTRES)
+    table.span = 10
+    schema = "id bigint, name string, latitude double, longitude double"
+    table.load(spark.createDataFrame([(n, "old", None, None) for n in (3, 15, 27, 28)], schema))
+    with pytest.raises(ValueError):
+        table.load(spark.createDataFrame([], schema))
+    base = f"{tmp_path}/{CENTRES.table}/base"
+    # One range changes, one loses its only row, one is new, one is left alone.
+    log = [message("u", None, centre(28, "new")), message("d", {"id": 15}), message("c", None, centre(-4, "low"))]
+    apply(spark, table, log, 0, 1, tmp_path)
+    expected = [(-4, "low"), (27, "old"), (28, "new"), (3, "old")]
+    assert state(table) == expected
+    assert table.compact() == 0
+    assert table.compact() is None
+    assert sorted(parts(spark, base, "version", "range")) == [(-1, 0), (-1, 1), (-1, 2), (0, -1), (0, 1), (0, 2)]
+    assert state(table) == expected
+    table.vacuum()
+    assert sorted(parts(spark, base, "version", "range")) == [(-1, 0), (0, -1), (0, 1), (0, 2)]
+    assert state(table) == expected
+    # The deleted key comes back.
+    apply(spark, table, [message("c", None, centre(15, "again"))], 1, 4, tmp_path)
+    table.compact()
+    table.vacuum()
+    assert state(table) == sorted([*expected, (15, "again")], key=str)
+
+
+def test_unfinished_version_is_not_read(spark, tmp_path):
+    table = keyed_table(spark, str(tmp_path), CENTRES)
+    apply(spark, table, LOG[:2], 0, 1, tmp_path)
+    table.compact()
+    half = f"{tmp_path}/{CENTRES.table}/base/version=9"
+    option = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    table.read().limit(0).withColumn("is_deleted", F.lit(0)).withColumn("range", F.lit(0)).write.option(
+        option, "false"
+    ).partitionBy("range").parquet(half)
+    assert state(table) == STATES[1]
+
+
 def test_snapshot_then_changes(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path), CENTRES)
     snapshot = "id bigint, name string, latitude double, longitude double"
