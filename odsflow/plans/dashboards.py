@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odsflow.functions.measures import count_where, ratio
@@ -171,8 +171,6 @@ def funnel_by_category(events: DataFrame, products: DataFrame, within: Range) ->
 def funnel_by(df: DataFrame, keys: list[str], metric: Column, rows: int = FUNNEL_ROWS) -> DataFrame:
     """Any metric by any dimension, largest first, each as a share of the largest."""
     steps = top_groups(df.groupBy(*keys).agg(metric.alias("metric")), keys, "metric", rows)
-    # At most ``rows`` rows are left, so the largest is a one-row subquery.
-    return steps.withColumn(
-        "share_pct", ratio(F.col("metric"), steps.agg(F.max("metric")).scalar()) * F.lit(100)
-    )
-
+    # At most ``rows`` rows are left, so a window over all of them is small.
+    largest = F.max("metric").over(Window.partitionBy())
+    return steps.withColumn("share_pct", ratio(F.col("metric"), largest) * F.lit(100))

@@ -169,3 +169,21 @@ def test_all_feeds_start(spark, tmp_path):
     for query in started.values():
         query.awaitTermination()
     assert sorted(started) == sorted(feed.table for feed in CHANGE_FEEDS.values())
+
+
+def test_runner_on_archived_topics(spark, tmp_path):
+    from odsflow.streaming.__main__ import parse, start
+
+    archive = f"{tmp_path}/archive"
+    put(spark, f"{archive}/clickstream-events", [click(1, "10:00"), "junk"])
+    for feed in CHANGE_FEEDS.values():
+        put(spark, f"{archive}/{feed.topic}", [json.dumps({"after": {feed.key: 5}, "op": "c"})])
+    for stream in ("clicks", "changes"):
+        arguments = [stream, "--root", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/cp", "--archive", archive, "--once"]
+        for query in start(spark, parse(arguments)):
+            query.awaitTermination()
+    assert read_batches(spark, f"{tmp_path}/out/dwd_clickstream_events", EVENTS).count() == 1
+    assert read_batches(spark, f"{tmp_path}/out/ods_clickstream_deadletter", DEAD_LETTERS).count() == 1
+    for feed in CHANGE_FEEDS.values():
+        table = change_streams.keyed_table(spark, f"{tmp_path}/out", feed)
+        assert [row[feed.target_key] for row in table.read().collect()] == [5]
