@@ -16,7 +16,7 @@ import time
 from odsflow.registry import QUERIES
 from odsflow.session import local_session
 
-#: The reference's ten reported queries, its views, and its four real-time queries.
+#: Reported queries, marts, recent-activity queries, and one or more of every other kind.
 HEADLINE = (
     "cs1_totals", "cs2_by_event_type", "cs3_sources", "cs4_window_read", "cs5_session_read",
     "cdc1_orders_by_status", "cdc2_revenue_by_category", "cdc3_demographics", "cdc4_orders_by_demographic",

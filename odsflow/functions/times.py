@@ -61,8 +61,8 @@ def whole_units_between(unit: str, start: str | Column, end: str | Column) -> Co
 
 
 def local_hour(column: str | Column, zone: str) -> Column:
-    """Hour of day in ``zone`` of a UTC timestamp."""
-    return F.hour(F.from_utc_timestamp(_col(column).cast("timestamp"), zone))
+    """Hour of day in ``zone`` of a UTC time."""
+    return F.hour(F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(column).cast("timestamp_ntz")))
 
 
 def _col(value: str | Column) -> Column:

@@ -4,6 +4,7 @@ import dataclasses
 import datetime as dt
 import itertools
 import json
+import random
 
 import pytest
 from conftest import rows
@@ -192,3 +193,29 @@ def test_upsert_updates_only_the_listed_columns(spark):
     # An update to null is an update.
     cleared = spark.createDataFrame([(1, None, None)], "k int, v string, w string")
     assert rows(keyed.upsert(target, cleared, ["k"], ["v"])) == [(1, None, "x"), (2, "b", "y")]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_log_in_any_batching(spark, tmp_path, seed):
+    """Random changes, cuts, replays and compactions against a dictionary."""
+    choose = random.Random(seed)
+    table = keyed_table(spark, str(tmp_path), CENTRES)
+    table.span = 3
+    model, log = {}, []
+    for n in range(60):
+        key = choose.choice([1, 1, 1, 2, 3, 4, 7, 8])  # one key has more than a third of the changes
+        if choose.random() < 0.3:
+            log.append(message("d", {"id": key}, None, choose.random() < 0.5))
+            model.pop(key, None)
+        else:
+            log.append(message("u", None, centre(key, f"n{n}"), choose.random() < 0.5))
+            model[key] = f"n{n}"
+    cuts = [0, *sorted(choose.sample(range(1, 60), 4)), 60]
+    for batch, (start, end) in enumerate(itertools.pairwise(cuts)):
+        for _ in range(choose.choice([1, 2])):
+            apply(spark, table, log[start:end], batch, start, tmp_path)
+        if choose.random() < 0.6:
+            table.compact()
+        if choose.random() < 0.5:
+            table.vacuum()
+    assert dict(state(table)) == model
