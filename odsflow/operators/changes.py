@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.functions.json import decode_once
+from odsflow.functions.decoding import decode_once
 from odsflow.schemas import TIME_COLUMNS, ChangeFeed
 
 DELETED = "is_deleted"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odsflow.functions import clicks as c
-from odsflow.functions.json import decode_once
+from odsflow.functions.decoding import decode_once
 from odsflow.schemas import BAD_FIELDS, BAD_JSON, BAD_TIME, CLICK, EVENTS
 
 WATERMARK = "10 minutes"

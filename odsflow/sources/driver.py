@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odsflow.functions.decoding import once
 from odsflow.operators.joins import lookup_join
 
 # --- fixed values -----------------------------------------------------------
@@ -268,7 +269,7 @@ class DriverTables:
         text = F.when(k == 5, None).when(k == 4, "").otherwise(body)
         return self._raw_events().select(
             _session_id().alias("key"),
-            text.cast("binary").alias("value"),
+            once(text.cast("binary"), "value"),
             F.lit("clickstream-events").alias("topic"),
             (F.col("user_id") % 4).cast("int").alias("partition"),
             F.col("event_id").alias("offset"),
@@ -307,7 +308,7 @@ class DriverTables:
         wrapped = F.when(k % 2 == 0, F.concat(F.lit('{"payload": '), body, F.lit("}"))).otherwise(body)
         return self._raw_events().select(
             F.col("user_id").cast("string").alias("key"),
-            F.when(k != 1, wrapped).cast("binary").alias("value"),
+            once(F.when(k != 1, wrapped).cast("binary"), "value"),
             F.lit("cdc.demo.users").alias("topic"),
             (F.col("user_id") % 4).cast("int").alias("partition"),
             F.col("event_id").alias("offset"),
