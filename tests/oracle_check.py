@@ -19,6 +19,7 @@ TABLES = (
 
 _SAME_TYPE = {
     "bigint": "BIGINT",
+    "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
