@@ -24,7 +24,7 @@ FIGURES = {
     "word_length": (1000, True),
     "symbols": (100, False),
     "dup_lines": (200, False),
-    "repeated": (100, False),
+    "repeated": (200, False),
 }
 SPACE = " \t\n\x0b\x0c\r"
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from odsflow.llm import quality_rules, sharding
+from odsflow.llm import decontamination, quality_rules, sharding
 
 QUERIES = {
+    "op10_fm_index": decontamination.op10_fm_index,
     "op6_adaptive_thresholds": quality_rules.op6_adaptive_thresholds,
     "op9_stratified_interleave": sharding.op9_stratified_interleave,
 }
 
 SQL = {
+    "op10_fm_index": decontamination.SQL,
     "op6_adaptive_thresholds": quality_rules.SQL,
     "op9_stratified_interleave": sharding.SQL,
 }
