@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from odsflow.sinks.paths import scratch
 
@@ -32,3 +38,63 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def words(text: str | None) -> list[bytes]:
     """Lower-cased words of a text as UTF-8: runs of ASCII letters, digits and all other characters."""
     return (text or "").encode("utf-8", "replace").translate(WORD_BYTES).split()
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, dict]]:
+    """Groups of equal ``key`` in batches that are sorted by it: the key and its columns.
+
+    Numbers come as arrays, lists of numbers of one length as matrices, all else as lists. Only
+    the open group is kept between batches.
+    """
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        if held is None or not held.num_rows:
+            continue
+        keys = held.column(key).to_numpy()
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        bounds = [0, *cuts.tolist()] + ([held.num_rows] if batch is None else [])
+        ready = held.slice(0, bounds[-1])
+        columns = {name: _plain(ready.column(name)) for name in held.schema.names if name != key}
+        for start, end in zip(bounds, bounds[1:]):
+            yield keys[start].item(), {name: values[start:end] for name, values in columns.items()}
+        held = held.slice(bounds[-1])
+
+
+def _plain(column: pa.ChunkedArray):
+    if pa.types.is_integer(column.type):
+        return column.to_numpy()
+    if pa.types.is_list(column.type):
+        values = column.combine_chunks()
+        flat = (values.chunk(0) if isinstance(values, pa.ChunkedArray) and values.num_chunks else values).flatten()
+        return flat.to_numpy().reshape(len(column), -1) if len(column) else np.empty((0, 1))
+    return column.to_pylist()
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """Rows (node, root) for every node of ``edges`` (a, b): root is the least node it is connected to.
+
+    Edges are rewritten to point at smaller and smaller nodes, in turn at all larger neighbours and
+    at all smaller ones, until nothing changes; every round is written. A node with many edges
+    meets its least neighbour in a sum per task and a join with one row per node.
+    """
+    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    before = None
+    while True:
+        both = edges.union(edges.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        # Larger neighbours of u are tied to the least neighbour of u.
+        large = edges.join(least, edges["b"] == least["u"]).select("a", F.col("m").alias("b"))
+        large = large.where("a <> b").distinct()
+        # Smaller neighbours of u, and u itself, are tied to the least of them.
+        least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
+        joined = large.join(least, large["a"] == least["u"])
+        small = joined.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).union(joined.select("a", F.col("m").alias("b")))
+        edges = written(small.where("a <> b").distinct(), name)
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == before:
+            break
+        before = state
+    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
