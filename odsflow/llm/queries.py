@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from odsflow.llm import decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sharding, suffix_dedup
+from odsflow.llm import decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup
 
 QUERIES = {
     "op10_fm_index": decontamination.op10_fm_index,
     "op2_license_templates": license_templates.op2_license_templates,
     "op3_line_crf": quality_crf.op3_line_crf,
     "op4_suffix_array": suffix_dedup.op4_suffix_array,
+    "op5_sentencepiece": sentencepieces.op5_sentencepiece,
     "op6_adaptive_thresholds": quality_rules.op6_adaptive_thresholds,
     "op8_chosen_path": near_duplicates.op8_chosen_path,
     "op9_stratified_interleave": sharding.op9_stratified_interleave,
