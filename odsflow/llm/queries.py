@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odsflow.llm import decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup
+from odsflow.llm import decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup, token_counts
 
 QUERIES = {
     "op10_fm_index": decontamination.op10_fm_index,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_suffix_array": suffix_dedup.op4_suffix_array,
     "op5_sentencepiece": sentencepieces.op5_sentencepiece,
     "op6_adaptive_thresholds": quality_rules.op6_adaptive_thresholds,
+    "op7_edit_aware_counts": token_counts.op7_edit_aware_counts,
     "op8_chosen_path": near_duplicates.op8_chosen_path,
     "op9_stratified_interleave": sharding.op9_stratified_interleave,
 }
