@@ -82,16 +82,16 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     before = None
     while True:
-        both = edges.union(edges.select("b", "a"))
+        # Smaller neighbours of a node, and the node itself, are tied to the least of them.
+        least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
+        joined = edges.join(least, edges["a"] == least["u"])
+        small = joined.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).where("a <> b").union(least)
+        small = written(small.distinct(), name)
+        # Larger neighbours of a node are tied to the least of all its neighbours.
+        both = small.union(small.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        # Larger neighbours of u are tied to the least neighbour of u.
-        large = edges.join(least, edges["b"] == least["u"]).select("a", F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        # Smaller neighbours of u, and u itself, are tied to the least of them.
-        least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
-        joined = large.join(least, large["a"] == least["u"])
-        small = joined.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).union(joined.select("a", F.col("m").alias("b")))
-        edges = written(small.where("a <> b").distinct(), name)
+        large = small.join(least, small["b"] == least["u"])
+        edges = written(large.select("a", F.col("m").alias("b")).where("a <> b").distinct(), name)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -34,9 +34,9 @@ HASHES = 64
 LEAF = 2048
 DEPTH = 6
 #: A set follows a pivot from the first share of equal hashes, and is tied to it from the second.
-#: If x follows pivot p and is 0.8 similar to y, then y and p are 0.6 similar at least.
-FOLLOW = 0.82
-TIE = 0.5
+#: If x is f similar to pivot p and 0.8 to y, then y and p are f - 0.2 similar at least.
+FOLLOW = 0.76
+TIE = 0.48
 #: Shingles of one block of a large group.
 BLOCK = 1_000_000
 #: Shingles found in more texts of a comparison are counted by matrix products, others pair by pair.
@@ -111,16 +111,14 @@ def runs(recall: float = RECALL) -> int:
 
 def _staged(docs: DataFrame) -> DataFrame:
     """Rows with a number, a key for equal texts, the size of their set and its embedding."""
-    clean = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.coalesce("text", F.lit("")).alias("whole"),
-    )
-    numbered = clean.select(
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    text = F.coalesce("text", F.lit(""))
+    numbered = docs.select(
         F.monotonically_increasing_id().alias("rid"),
-        F.xxhash64("whole").alias("k1"),
-        F.xxhash64(F.lit(7), "whole").alias("k2"),
-        "row",
-        "whole",
+        F.xxhash64(text).alias("k1"),
+        F.xxhash64(F.lit(7), text).alias("k2"),
+        F.struct(*rest, F.lit(None).cast("boolean").alias("_")).alias("row"),
+        F.col("text").alias("whole"),
     )
     schema = T.StructType(
         numbered.schema.fields
@@ -166,18 +164,21 @@ def _alike(a: str, b: str):
     return same / F.lit(float(HASHES))
 
 
-def _ties_in_leaf(rep: np.ndarray, hashes: np.ndarray) -> list[tuple[int, int]]:
-    """Ties of a small node: every set to all leaders it is alike to; a set that follows none leads."""
+def _ties_in_leaf(rep: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ties of a small node: all sets that are alike to a leader are tied to it, and a set that
+    follows none leads. Gives each tied set and the least set it is connected to."""
     order = np.argsort(rep, kind="stable")
     rep, hashes = rep[order], hashes[order]
-    ties, left = [], np.arange(len(rep))
+    root, left = np.arange(len(rep)), np.arange(len(rep))
     while len(left) > 1:
         leader, rest = left[0], left[1:]
-        alike = (hashes[rest] == hashes[leader]).sum(axis=1) / HASHES
-        # Sets that already follow an earlier leader are gone; ties of leaders to it were made then.
-        ties += [(int(r), int(rep[leader])) for r in rep[rest[alike >= TIE]]]
-        left = rest[alike < FOLLOW]
-    return ties
+        alike = (hashes[rest] == hashes[leader]).sum(axis=1)
+        met = np.unique(root[np.append(rest[alike >= TIE * HASHES], leader)])
+        if len(met) > 1:
+            root[np.isin(root, met)] = met[0]
+        left = rest[alike < FOLLOW * HASHES]
+    tied = np.flatnonzero(root != np.arange(len(rep)))
+    return rep[tied], rep[root[tied]]
 
 
 def _ties(sets: DataFrame, recall: float) -> DataFrame:
@@ -200,9 +201,9 @@ def _ties(sets: DataFrame, recall: float) -> DataFrame:
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, group in sorted_groups(batches, "node"):
-                ties = _ties_in_leaf(group["rep"], group["hashes"])
-                if ties:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*ties)], names=["a", "b"])
+                a, b = _ties_in_leaf(group["rep"], group["hashes"])
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         near = leaves.select("node", "rep", "hashes").repartition("node").sortWithinPartitions("node")
         found.append(written(near.mapInArrow(search, "a long, b long").distinct(), "near-ties"))
