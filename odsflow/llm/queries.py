@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from odsflow.llm import decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup, token_counts
+from odsflow.llm import decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup, token_counts, tool_calls
 
 QUERIES = {
+    "op1_tool_calls": tool_calls.op1_tool_calls,
     "op10_fm_index": decontamination.op10_fm_index,
     "op2_license_templates": license_templates.op2_license_templates,
     "op3_line_crf": quality_crf.op3_line_crf,
