@@ -308,14 +308,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     frame = docs.select([f"`{c}`" for c in carried])
     for block in range(blocks):
         here = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
-        shared = docs.sparkSession.sparkContext.broadcast(Tests([(r.id, r.text.encode()) for r in here.collect()]))
+        shared = docs.sparkSession.sparkContext.broadcast([(r.id, r.text.encode()) for r in here.collect()])
         out = keep if block == blocks - 1 else carried
         schema = T.StructType([f for f in frame.schema.fields if f.name in out] + _ADDED.fields)
 
         def scan(batches: Iterator[pa.RecordBatch], out=out, shared=shared) -> Iterator[pa.RecordBatch]:
+            block_tests = Tests(shared.value)
             for batch in batches:
                 texts = batch.column("text").cast(pa.binary()).to_pylist()
-                words, hits, items, spans = _scan(texts, shared.value)
+                words, hits, items, spans = _scan(texts, block_tests)
                 if "dc_items" in batch.schema.names:
                     before_items = batch.column("dc_items").to_pylist()
                     before_spans = batch.column("dc_spans").to_pylist()
@@ -337,13 +338,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     return frame
 
 
-def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
-    """The text without the given byte ranges, which are sorted and apart."""
-    kept, last = [], 0
-    for start, end in spans:
-        kept.append(text[last:start])
-        last = end
-    return b"".join([*kept, text[last:]])
+def without_tests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` with the removal spans cut from every text, and ``n_chars`` set to what is left. A text
+    that shares nothing with the tests is unchanged."""
+    columns = docs.columns
+    found = decontaminate(docs, benchmark).drop("dc_words", "dc_hit", "dc_items")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i, spans in enumerate(batch.column("dc_spans").to_pylist()):
+                if spans:
+                    data, last, kept = texts[i].encode(), 0, []
+                    for span in spans:
+                        kept.append(data[last : span["start"]])
+                        last = span["end"]
+                    texts[i] = b"".join([*kept, data[last:]]).decode()
+            out = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(out, names=columns)
+
+    clean = found.mapInArrow(cut, docs.schema)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else clean
 
 
 def op10_fm_index(spark, sf_dir: str) -> DataFrame:

@@ -364,6 +364,18 @@ def near_classes(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, Da
     return staged, written(classes, "near-result")
 
 
+def one_of_each(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """``docs`` with one row of each class of near duplicates: that with the least ``doc_id`` (null
+    last). Rows without words all stay."""
+    staged, classes = near_classes(docs, recall)
+    ids = staged.select("rid", F.col("row.doc_id").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
+    best = classes.join(ids, "rid").groupBy("root").agg(F.min(order).getField("rid").alias("rid"))
+    dropped = classes.join(best, "rid", "left_anti").select("rid")
+    kept = staged.join(dropped, "rid", "left_anti")
+    return kept.select(*[F.col("whole").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def op8_chosen_path(spark, sf_dir: str) -> DataFrame:
     """Class, copies and links of every row of ``documents``; a class is named by its least doc_id."""
     staged, classes = near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))

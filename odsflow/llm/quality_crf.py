@@ -257,6 +257,12 @@ def classify(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
+def good_only(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose quality is under the threshold."""
+    scored = classify(docs, train(docs, labels), docs.columns)
+    return scored.where(F.col("quality_score") >= THRESHOLD).select(docs.columns)
+
+
 def op3_line_crf(spark, sf_dir: str) -> DataFrame:
     """Quality of every row of ``documents``, learnt from ``labels``."""
     docs = table(spark, sf_dir, "documents")

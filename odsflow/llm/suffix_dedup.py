@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -335,12 +336,24 @@ def _numbered(docs: DataFrame) -> DataFrame:
         return _numbered(written(docs, "suffix-rows"))
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All rows of ``docs`` (rid, row, n_bytes, sha256 of the text), and the cut ones.
+@dataclass(frozen=True)
+class Repeats:
+    """What was found: all rows (rid, row, whole), their sizes and digests (rid, row, n_bytes, sha256),
+    the texts that may be cut (rid, whole), and what to cut (rid, spans)."""
 
-    The second has (rid, whole, spans): the text as bytes and the maximal runs of bytes covered by
-    a 200-byte string that starts at another place too, in the same text or any other. A null text
-    is empty; texts under 200 bytes have no such string. Repeated rows count as different places.
+    rows: DataFrame
+    figures: DataFrame
+    candidates: DataFrame
+    spans: DataFrame
+
+
+def repeated_spans(docs: DataFrame) -> Repeats:
+    """The maximal runs of bytes of each text that are covered by a 200-byte string which starts at
+    another place too, in the same text or any other.
+
+    ``rid`` numbers the rows of ``docs``, ``row`` holds their columns other than ``text``, ``whole``
+    the text as bytes. A null text is empty; texts under 200 bytes have no such string. Repeated
+    rows count as different places.
     """
     numbered = _numbered(docs)
     anchor_type = T.ArrayType(
@@ -386,7 +399,6 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     hits = hits.groupBy("rid").agg(
         F.collect_list(F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last")).alias("b"))).alias("hits")
     )
-    joined = candidates.select("rid", "whole").join(hits, "rid")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -400,11 +412,10 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                         spans.append([a, b])
                 out.append([{"start": a, "end": b} for a, b in spans])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("whole"), pa.array(out, span)], names=["rid", "whole", "spans"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(out, span)], names=["rid", "spans"])
 
-    return rows.drop("anchors"), joined.mapInArrow(merge, "rid long, whole binary, spans array<struct<start:long,end:long>>")
+    spans = hits.mapInArrow(merge, "rid long, spans array<struct<start:long,end:long>>")
+    return Repeats(numbered, rows.drop("anchors"), candidates.select("rid", "whole"), spans)
 
 
 def without_spans(text: bytes, spans: list) -> bytes:
@@ -416,9 +427,32 @@ def without_spans(text: bytes, spans: list) -> bytes:
     return b"".join([*kept, text[last:]])
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the repeated bytes cut from every text, and ``n_chars`` set to what is left.
+
+    Characters that a cut leaves in part go as a whole. A text that loses nothing is unchanged,
+    but null becomes empty; one that loses all is empty.
+    """
+    found = repeated_spans(docs)
+    joined = found.rows.join(found.spans, "rid", "left")
+    columns = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole, spans = batch.column("whole").to_pylist(), batch.column("spans").to_pylist()
+            texts = [without_spans(w, s).decode("utf-8", "ignore") if s else w.decode() for w, s in zip(whole, spans)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+    texts = joined.select("row", "whole", "spans").mapInArrow(cut, schema)
+    kept = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    kept = texts.select(*kept)
+    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else kept
+
+
 def op4_suffix_array(spark, sf_dir: str) -> DataFrame:
     """What is removed from every row of ``documents``."""
-    rows, cut = repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -430,8 +464,8 @@ def op4_suffix_array(spark, sf_dir: str) -> DataFrame:
                 names=["rid", "n_removed", "n_spans", "kept"],
             )
 
-    cut = cut.mapInArrow(digest, "rid long, n_removed long, n_spans long, kept string")
-    return rows.join(cut, "rid", "left").select(
+    cut = found.candidates.join(found.spans, "rid").mapInArrow(digest, "rid long, n_removed long, n_spans long, kept string")
+    return found.figures.join(cut, "rid", "left").select(
         F.col("row.doc_id").alias("doc_id"),
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
