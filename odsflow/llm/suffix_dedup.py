@@ -15,6 +15,7 @@ share) is dealt out again by longer grams, up to the whole window.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,9 @@ WINDOW = 200
 #: Bytes of the grams that anchor a window, at first and for crowded anchors.
 GRAMS = (32, 125, 175, 195, 200)
 #: Different stretches that one suffix array orders; more are dealt out by the next gram.
-CROWD = 256
+CROWD = 20_000
+#: Bytes of stretches whose windows are hashed at once.
+TOGETHER = 1 << 19
 #: Bytes that are hashed at once, and windows of one stretch, at most.
 SECTION = 1 << 17
 STRETCH = 256
@@ -111,8 +114,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][0][:n], _POWERS[0][1][:n]
 
 
-def _least_gram(data: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the grams of the data, and the least one of the grams of each window."""
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Hashes of all grams of the data."""
     up, down = _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
@@ -120,6 +123,12 @@ def _least_gram(data: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
     hashes ^= hashes >> np.uint64(32)
     hashes *= np.uint64(0xD6E8FEB86659FD93)
     hashes ^= hashes >> np.uint64(32)
+    return hashes
+
+
+def _least_gram(data: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the grams of the data, and the least one of the grams of each window."""
+    hashes = _gram_hashes(data, gram)
     least, count, width = hashes, WINDOW - gram + 1, 1
     while width * 2 <= count:
         least = np.minimum(least[:-width], least[width:])
@@ -184,8 +193,8 @@ def _names(parts: list[bytes]) -> np.ndarray:
 def repeated(parts: list[bytes], counts: list[int]) -> list[list[tuple[int, int]]]:
     """Ranges of windows of each string that occur elsewhere among the strings, or in the string
     itself, or in any window when the string stands for several places."""
-    if len(parts) == 1 and counts[0] > 1:
-        return [[(0, len(parts[0]) - WINDOW + 1)]]
+    if min(counts) > 1:
+        return [[(0, len(part) - WINDOW + 1)] for part in parts]
     joined, bound = [], []
     for part in parts:
         bound.append(len(joined))
@@ -221,6 +230,51 @@ def repeated(parts: list[bytes], counts: list[int]) -> list[list[tuple[int, int]
     return out
 
 
+def _ordered(groups: list[tuple[list, list[bytes], list[int]]]) -> list[tuple[int, int, int, int]]:
+    """Repeated windows (s1, s2, first, last) of groups of different stretches (names, texts, places).
+
+    A stretch with several places is repeated as a whole. Of the others, windows whose hash no other
+    window of the group has are set aside; what is left of them, and all they may be equal to, is
+    ordered by a suffix array, which decides.
+    """
+    parts = [part for _, texts, _ in groups for part in texts]
+    places = np.array([n for _, _, counts in groups for n in counts], np.int64)
+    group = np.repeat(np.arange(len(groups)), [len(texts) for _, texts, _ in groups])
+    size = np.array([len(part) for part in parts], np.int64)
+    first = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    windows = size - WINDOW + 1
+    owner = np.repeat(np.arange(len(parts)), windows)
+    begin = np.cumsum(windows) - windows
+    inside = np.arange(len(owner)) - begin[owner]
+    hashes = _gram_hashes(data, WINDOW)[first[owner] + inside]
+    hashes ^= group[owner].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    _, which, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    maybe = (times[which] > 1) | (places[owner] > 1)
+    heads = begin
+    low = np.minimum.reduceat(np.where(maybe, inside, size[owner]), heads)
+    high = np.maximum.reduceat(np.where(maybe, inside + 1, 0), heads)
+    out, at = [], 0
+    for names, texts, counts in groups:
+        lows, highs = low[at : at + len(texts)].tolist(), high[at : at + len(texts)].tolist()
+        at += len(texts)
+        if min(counts) > 1:
+            out += [(*name, 0, len(text) - WINDOW + 1) for name, text in zip(names, texts)]
+            continue
+        pieces: dict[bytes, int] = {}
+        for text, a, b, count in zip(texts, lows, highs, counts):
+            if b > a:
+                piece = text[a : b + WINDOW - 1]
+                pieces[piece] = pieces.get(piece, 0) + count
+        if not pieces:
+            continue
+        ranges = dict(zip(pieces, repeated(list(pieces), list(pieces.values()))))
+        for name, text, a, b in zip(names, texts, lows, highs):
+            if b > a:
+                out += [(*name, a + x, a + y) for x, y in ranges[text[a : b + WINDOW - 1]]]
+    return out
+
+
 def _extract(frame: DataFrame, text: bool) -> DataFrame:
     """Stretches of candidate anchors. With ``text``: each different one of a batch with the number of
     its places (anchor, s1, s2, places, part). Without: every place (rid, start, s1, s2)."""
@@ -264,17 +318,22 @@ def _resolve(rows: DataFrame, level: int) -> DataFrame:
         return twice.select("s1", "s2", F.lit(0).cast("long").alias("first"), F.lit(1).cast("long").alias("last"))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in sorted_groups(batches, "anchor"):
-            counts, parts = {}, {}
-            for s1, s2, places, part in zip(group["s1"].tolist(), group["s2"].tolist(), group["places"].tolist(), group["part"]):
-                counts[s1, s2] = counts.get((s1, s2), 0) + places
-                parts[s1, s2] = part
-            ranges = repeated(list(parts.values()), list(counts.values()))
-            out = [(*name, *r) for name, some in zip(parts, ranges) for r in some]
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in zip(*out)], names=["s1", "s2", "first", "last"]
-                )
+        together, held = [], 0
+        for _, group in itertools.chain(sorted_groups(batches, "anchor"), [(None, None)]):
+            if group is not None:
+                counts, parts = {}, {}
+                for s1, s2, places, part in zip(group["s1"].tolist(), group["s2"].tolist(), group["places"].tolist(), group["part"]):
+                    counts[s1, s2] = counts.get((s1, s2), 0) + places
+                    parts[s1, s2] = part
+                together.append((list(parts), list(parts.values()), list(counts.values())))
+                held += sum(map(len, parts.values()))
+            if together and (group is None or held >= TOGETHER):
+                found = _ordered(together)
+                together, held = [], 0
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, pa.int64()) for x in zip(*found)], names=["s1", "s2", "first", "last"]
+                    )
 
     crowded = written(rows.groupBy("anchor").count().where(F.col("count") > CROWD).select("anchor"), "crowded")
     some = not crowded.isEmpty()
