@@ -341,8 +341,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
 def without_tests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the removal spans cut from every text, and ``n_chars`` set to what is left. A text
     that shares nothing with the tests is unchanged."""
-    columns = docs.columns
-    found = decontaminate(docs, benchmark).drop("dc_words", "dc_hit", "dc_items")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    packed = docs.select("text", F.struct(*rest, F.lit(None).cast("boolean").alias("_")).alias("row"))
+    found = decontaminate(packed, benchmark).select("row", "text", "dc_spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,11 +355,12 @@ def without_tests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         kept.append(data[last : span["start"]])
                         last = span["end"]
                     texts[i] = b"".join([*kept, data[last:]]).decode()
-            out = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(out, names=columns)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    clean = found.mapInArrow(cut, docs.schema)
-    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else clean
+    schema = T.StructType([found.schema["row"], T.StructField("text", T.StringType())])
+    clean = found.mapInArrow(cut, schema)
+    clean = clean.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def op10_fm_index(spark, sf_dir: str) -> DataFrame:

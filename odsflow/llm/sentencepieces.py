@@ -136,7 +136,7 @@ def _relax(start: np.ndarray, word: np.ndarray, end: np.ndarray, edges: np.ndarr
     ``start`` and ``end`` are the characters of all words, ``word`` the word of each, in order.
     """
     none, row = np.iinfo(np.int64).max, model.longest + 1
-    done_start, done_end = [], []
+    done_start, done_end = [start[:0]], [end[:0]]
     while len(start):
         length = np.zeros(len(start), np.int64)
         length[:-1] = end[1:] - start[:-1]
