@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odsflow.schemas import CLICK_TOPIC
 
@@ -11,16 +12,18 @@ USER_TOPIC = "new-users"
 _TIME_NAMES = ("_at", "_date", "timestamp")
 
 
-def _filled(column: str) -> Column:
-    """Neither missing, nor zero, nor empty text."""
-    return ~F.coalesce(F.col(column).cast("string"), F.lit("")).isin("", "0")
+def _filled(rows: DataFrame, column: str) -> Column:
+    """Neither missing, nor the number zero, nor empty text; the text "0" is a value."""
+    kind = rows.schema[column].dataType
+    empty = F.lit("") if isinstance(kind, T.StringType) else F.lit(0).cast(kind)
+    return F.coalesce(F.col(column) != empty, F.lit(False))
 
 
 def normalise_clicks(rows: DataFrame, now: Column | None = None) -> DataFrame:
     """Clicks marked ``accepted`` or not; a missing time becomes the present."""
     text = F.nullif(F.col("created_at"), F.lit(""))
     return (
-        rows.withColumn("accepted", _filled("id") & _filled("session_id"))
+        rows.withColumn("accepted", _filled(rows, "id") & _filled(rows, "session_id"))
         .withColumn("created_at", F.coalesce(text, _iso(now)))
         .withColumn("key", F.col("session_id"))
     )
@@ -31,7 +34,7 @@ def normalise_users(rows: DataFrame, now: Column | None = None) -> DataFrame:
     missing = F.coalesce(F.col("created_at"), F.lit("")) == ""
     return rows.withColumns(
         {
-            "accepted": _filled("id"),
+            "accepted": _filled(rows, "id"),
             "created_at": F.when(missing, _iso(now)).otherwise(F.col("created_at")),
             "updated_at": F.when(missing, _iso(now)).otherwise(F.col("updated_at")),
             "key": F.col("id").cast("string"),

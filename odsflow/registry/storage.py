@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from odsflow.functions import clicks as click_functions
@@ -12,7 +15,9 @@ from odsflow.registry.base import add
 from odsflow.schemas import CHANGE_FEEDS, EVENTS
 from odsflow.sinks import paths, refresh
 from odsflow.sinks.append import read_batches
+from odsflow.sinks.events import EventTable
 from odsflow.sinks.layout import ColocatedPair
+from odsflow.sources.snapshots import read_csv
 from odsflow.sources.topics import read_topic_files
 from odsflow.streaming import changes as change_streams
 from odsflow.streaming import clicks as click_streams
@@ -127,7 +132,7 @@ _NORMALISED_AT = "2024-02-01T00:00:00.000000"
     "ingest_normalise_events",
     f"""SELECT id, session_id, session_id AS key,
                CASE WHEN COALESCE(created_at, '') = '' THEN '{_NORMALISED_AT}' ELSE created_at END AS created_at,
-               id <> '0' AND COALESCE(session_id, '') <> '' AS accepted
+               COALESCE(id, '') <> '' AND COALESCE(session_id, '') <> '' AS accepted
         FROM ({_RAW_CLICKS})""",
 )
 def _(t):
@@ -144,7 +149,7 @@ def _(t):
 
 @add(
     "ingest_normalise_users",
-    f"""SELECT id, id AS key, id <> '0' AS accepted,
+    f"""SELECT id, id AS key, COALESCE(id, '') <> '' AS accepted,
                CASE WHEN age = 12 THEN '{_NORMALISED_AT}' ELSE created_at END AS created_at,
                CASE WHEN age = 12 THEN '{_NORMALISED_AT}' ELSE updated_at END AS updated_at
         FROM (SELECT CAST(user_id AS VARCHAR) AS id, age, strftime(created_at, '%Y-%m-%d') AS created_at,
@@ -257,7 +262,7 @@ def _(t):
     table = change_streams.keyed_table(t.spark, folder, USERS)
     table.load(_snapshot(t).select(*[F.col(f.name) if f.name in _USER_COLUMNS else F.lit(None).alias(f.name)
                                      for f in USERS.target_schema.fields]))
-    lenient = type(USERS)(**{**USERS.__dict__, "error_budget": 10**12})
+    lenient = dataclasses.replace(USERS, error_budget=10**12)
     query = change_streams.start_feed(
         read_topic_files(t.spark, f"{folder}/topic"), lenient, table, f"{folder}/dead", f"{folder}/checkpoint",
         availableNow=True,
@@ -300,6 +305,33 @@ def _(t):
     return retained(t.events(), "event_date").groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
 
 
+@add(
+    "stream_retention",
+    f"""SELECT {_DETAIL} FROM click_messages WHERE verdict = 'valid'
+        AND CAST(ts AS DATE) >= (SELECT MAX(CAST(ts AS DATE)) FROM click_messages WHERE verdict = 'valid') - 7""",
+)
+def _(t):
+    folder = paths.scratch(t.spark, "click-stream")
+    topic = t.click_topic()
+    topic.write.parquet(f"{folder}/topic")
+    click_streams.start_valid(
+        read_topic_files(t.spark, f"{folder}/topic"), f"{folder}/events", f"{folder}/checkpoint", availableNow=True
+    ).awaitTermination()
+    table = EventTable(t.spark, f"{folder}/events", EVENTS)
+    table.move()
+    table.drop_moved()
+    newest = table.read().agg(F.max("event_date")).first()[0]
+    table.drop_expired(newest or dt.date.min + dt.timedelta(days=7))
+    return table.read().select(*_DETAIL_NAMES)
+
+
+@add("csv_roundtrip", "SELECT id, name, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude FROM dim_centres")
+def _(t):
+    path = paths.scratch(t.spark, "centres")
+    t.centres().write.option("header", "true").csv(path)
+    return read_csv(t.spark, path, "distribution_centers").select("id", "name", "latitude", "longitude")
+
+
 @add("mv_refresh", "SELECT * FROM session_summary")
 def _(t):
     path = paths.scratch(t.spark, "sessions")

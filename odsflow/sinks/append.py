@@ -8,19 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from odsflow.operators.selection import listed_columns
+from odsflow.sinks.owner import claim
 from odsflow.sinks.paths import exists
 
 BATCH = "batch_id"
 
 
 def append_batch(
-    df: DataFrame, path: str, batch_id: int, columns: Sequence[str], partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    columns: Sequence[str],
+    partition_by: Sequence[str] = (),
+    checkpoint: str | None = None,
 ) -> None:
     """Write one batch to a folder of its own. A batch that is replayed replaces itself.
 
-    Batch numbers belong to one checkpoint: a query that starts with a new checkpoint
-    needs a new ``path``.
+    Batch numbers belong to one checkpoint. With ``checkpoint`` the table is tied to its stream, and
+    the batches of any other are refused: they need a new ``path``.
     """
+    if checkpoint is not None:
+        claim(df.sparkSession, path, checkpoint, path)
     (
         listed_columns(df, columns)
         .write.mode("overwrite")

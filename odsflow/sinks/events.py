@@ -1,0 +1,76 @@
+"""Upkeep of an event table that a stream feeds: small batch folders become full daily files.
+
+Finished batches are moved step by step: each run writes the batches since the last one, by day,
+into a folder named after the newest of them. Readers take the moved days and the batches after
+them, so that a row is never seen twice.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from odsflow.sinks.append import BATCH
+from odsflow.sinks.layout import drop_expired_days, write_daily
+from odsflow.sinks.paths import numbered, numbered_dates, remove
+
+_UPTO = "upto"
+
+
+class EventTable:
+    """``path`` is where the stream writes its batches; moved days go to ``daily``."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, daily: str | None = None):
+        self.spark, self.path, self.schema, self.daily = spark, path, schema, daily or f"{path}_daily"
+
+    def read(self) -> DataFrame:
+        moves = numbered(self.spark, self.daily, _UPTO)
+        parts = [self._files(self.daily, _UPTO, moves)] if moves else []
+        waiting = self._waiting(moves)
+        if waiting:
+            parts.append(self._files(self.path, BATCH, waiting))
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def move(self) -> int | None:
+        """Move what is finished; gives the newest batch that was moved. A run that fails is repeated
+        by the next one, as its folder is not complete."""
+        waiting = self._waiting(numbered(self.spark, self.daily, _UPTO))
+        if not waiting:
+            return None
+        write_daily(self._files(self.path, BATCH, waiting), f"{self.daily}/{_UPTO}={waiting[-1]}", whole=True)
+        return waiting[-1]
+
+    def drop_moved(self) -> list[int]:
+        """Remove batch folders that are moved. Not while older readers still run."""
+        moves = numbered(self.spark, self.daily, _UPTO)
+        gone = [b for b in numbered(self.spark, self.path, BATCH, complete=False) if moves and b <= moves[-1]]
+        for batch in gone:
+            remove(self.spark, f"{self.path}/{BATCH}={batch}")
+        return gone
+
+    def drop_expired(self, today: dt.date, keep_days: int = 7) -> list[dt.date]:
+        """Remove days that are over, moved or not; data files are not opened."""
+        gone: set[dt.date] = set()
+        moves = numbered(self.spark, self.daily, _UPTO)
+        for number in moves:
+            folder = f"{self.daily}/{_UPTO}={number}"
+            gone.update(drop_expired_days(self.spark, folder, today, keep_days))
+            # The newest folder stays, as it says what is moved.
+            if number != moves[-1] and not numbered_dates(self.spark, folder, "event_date"):
+                remove(self.spark, folder)
+        for batch in numbered(self.spark, self.path, BATCH):
+            gone.update(drop_expired_days(self.spark, f"{self.path}/{BATCH}={batch}", today, keep_days))
+        return sorted(gone)
+
+    def _waiting(self, moves: list[int]) -> list[int]:
+        batches = numbered(self.spark, self.path, BATCH)
+        return [b for b in batches if not moves or b > moves[-1]]
+
+    def _files(self, root: str, label: str, numbers: list[int]) -> DataFrame:
+        full = T.StructType([*self.schema.fields, T.StructField(label, T.LongType())])
+        reader = self.spark.read.schema(full).option("basePath", root)
+        return reader.parquet(*[f"{root}/{label}={n}" for n in numbers]).select(*self.schema.fieldNames())

@@ -4,8 +4,10 @@ Plain Parquet cannot change a row in place. Rewriting the table for every micro-
 would cost as much as the table is large, so a batch only appends its changes to the log.
 Readers apply the log to the base, and a scheduled ``compact`` folds it in.
 
-The base is divided by ranges of the key. Keys are handed out in order and most changes are
-to recent rows, so a log touches few ranges; ``compact`` rewrites those and leaves the others.
+The base is divided by a hash of the key into a number of parts that is fixed when the table is
+made and recorded with it. ``compact`` rewrites the parts that the log touches and leaves the
+others; a manifest says which version holds each part. Folders, paths and rows of the manifest
+are bounded by the number of parts, whatever the keys are.
 """
 
 from __future__ import annotations
@@ -16,24 +18,27 @@ from pyspark.sql import types as T
 
 from odsflow.operators.changes import DELETED
 from odsflow.operators.keyed import latest_by_key, merge_changes, without_deleted
+from odsflow.sinks.owner import claim
 from odsflow.sinks.paths import numbered, parts, remove
 
 #: Order of changes: batches first, then position in the topic. A key always lands in the
 #: same topic partition, so this is the order in which its changes were made.
 ORDER = ("batch_id", "partition", "offset")
 
+_PART = "table_part"
+_MANIFEST = f"{_PART} int, holder long, n_parts int"
+
 
 class KeyedTable:
-    """``span`` keys make one range; choose it so that a range is a few files."""
+    """``n_parts`` counts for a new table only; choose it so that a part is a few files."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, span: int = 1_000_000):
-        self.spark, self.path, self.schema, self.key, self.span = spark, path, schema, key, span
-        deleted = T.StructField(DELETED, T.IntegerType())
-        self._base_schema = T.StructType([*schema.fields, deleted, T.StructField("range", T.LongType())])
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, n_parts: int = 64):
+        self.spark, self.path, self.schema, self.key, self.n_parts = spark, path, schema, key, n_parts
+        self._base_schema = T.StructType([*schema.fields, T.StructField(_PART, T.IntegerType())])
         self._log_schema = T.StructType(
             [
                 *schema.fields,
-                deleted,
+                T.StructField(DELETED, T.IntegerType()),
                 T.StructField("partition", T.IntegerType()),
                 T.StructField("offset", T.LongType()),
                 T.StructField("batch_id", T.LongType()),
@@ -44,104 +49,112 @@ class KeyedTable:
         """Fill a new table from a snapshot."""
         if self._version() is not None or self._batches(None):
             raise ValueError(f"{self.path} holds a table already")
-        self._write_base(snapshot.withColumn(DELETED, F.lit(0)), -1)
+        self._commit(snapshot, -1, {}, range(self.n_parts), self.n_parts)
 
-    def append(self, changes: DataFrame, batch_id: int) -> None:
+    def append(self, changes: DataFrame, batch_id: int, checkpoint: str | None = None) -> None:
         """Log one batch. Only the last change of a key within the batch is kept, and a batch
-        that is replayed replaces itself."""
+        that is replayed replaces itself. With ``checkpoint`` the table is tied to its stream."""
+        if checkpoint is not None:
+            claim(self.spark, self.path, checkpoint, f"{self.path}/log")
         newest = latest_by_key(changes, [self.key], ["partition", "offset"])
         columns = [c for c in self._log_schema.fieldNames() if c != "batch_id"]
         newest.select(*columns).write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
     def read(self) -> DataFrame:
         """Current rows."""
-        base = without_deleted(self._base()).select(*self.schema.fieldNames())
-        log = self._log()
-        return base if log is None else merge_changes(base, log, [self.key], ORDER)
+        version = self._version()
+        base = self._base(self._manifest(version)).select(*self.schema.fieldNames())
+        batches = self._batches(version)
+        return merge_changes(base, self._log(batches), [self.key], ORDER) if batches else base
 
     def compact(self) -> int | None:
         """Fold the log into the base, if there is anything new in it.
 
-        The new version holds the touched ranges only. A deleted key stays in it as a mark
-        until its range is next rewritten, so that a range never vanishes and lets an older
-        version show through. Readers see a version once it is complete.
+        The log is listed once: the new version holds exactly the batches it is named after, and
+        one that arrives meanwhile stays in the log. Readers see a version once its manifest is
+        complete.
         """
-        log, batches = self._log(), self._batches(self._version())
-        if log is None:
+        version = self._version()
+        batches = self._batches(version)
+        if not batches:
             return None
-        # Range numbers, no more than the base has ranges.
-        touched = [row["range"] for row in log.select(self._range().alias("range")).distinct().collect()]
+        log, manifest = self._log(batches), self._manifest(version)
+        n_parts = next(iter(manifest.values()))[1] if manifest else self.n_parts
         newest = latest_by_key(log, [self.key], ORDER)
-        base = self._base()
-        kept = without_deleted(base.where(base["range"].isin(touched)))
-        kept = kept.join(log.select(self.key), self.key, "left_anti").withColumn(DELETED, F.lit(0))
-        columns = [*self.schema.fieldNames(), DELETED]
-        self._write_base(kept.select(*columns).unionByName(newest.select(*columns)), batches[-1])
+        touched = log.select(self._part(n_parts)).distinct()
+        kept = self._base(manifest).join(F.broadcast(touched), _PART, "left_semi").drop(_PART)
+        kept = kept.join(log.select(self.key), self.key, "left_anti")
+        columns = self.schema.fieldNames()
+        rows = kept.select(*columns).unionByName(without_deleted(newest).select(*columns))
+        # No more numbers than the table has parts.
+        numbers = [row[_PART] for row in touched.collect()]
+        self._commit(rows, batches[-1], manifest, numbers, n_parts)
         return batches[-1]
 
     def vacuum(self) -> None:
-        """Remove ranges that a newer version replaces, and log batches the base contains. Not
+        """Remove parts that a newer version replaces, and log batches the base contains. Not
         while readers that started before the last ``compact`` are still running."""
-        version, current = self._version(), self._current_ranges()
+        version = self._version()
         if version is None:
             return
-        for old, number in parts(self.spark, f"{self.path}/base", "version", "range"):
-            if current.get(number, old) > old:
-                remove(self.spark, f"{self.path}/base/version={old}/range={number}")
+        current = {part: holder for part, (holder, _) in self._manifest(version).items()}
+        for old, part in parts(self.spark, f"{self.path}/base", "version", _PART):
+            if old <= version and current.get(part) != old:
+                remove(self.spark, f"{self.path}/base/version={old}/{_PART}={part}")
+        for old in numbered(self.spark, f"{self.path}/manifest", "version"):
+            if old < version:
+                remove(self.spark, f"{self.path}/manifest/version={old}")
         for batch in numbered(self.spark, f"{self.path}/log", "batch_id", complete=False):
             if batch <= version:
                 remove(self.spark, f"{self.path}/log/batch_id={batch}")
 
-    def _range(self) -> Column:
-        # Whole-number arithmetic: a key need not fit a double.
-        return F.expr(f"(`{self.key}` - pmod(`{self.key}`, {self.span})) div {self.span}")
+    def _part(self, n_parts: int) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(n_parts)).cast("int").alias(_PART)
 
     def _version(self) -> int | None:
         """Last batch that the base contains; -1 stands for the snapshot."""
-        versions = numbered(self.spark, f"{self.path}/base", "version")
+        versions = numbered(self.spark, f"{self.path}/manifest", "version")
         return versions[-1] if versions else None
 
-    def _current_ranges(self) -> dict[int, int]:
-        """Range number to the newest complete version that holds it."""
-        complete = set(numbered(self.spark, f"{self.path}/base", "version"))
-        found = parts(self.spark, f"{self.path}/base", "version", "range")
-        return {number: version for version, number in sorted(found) if version in complete}
+    def _manifest(self, version: int | None) -> dict[int, tuple[int, int]]:
+        """Part to the version that holds it, and the number of parts. Empty parts are absent, but for
+        one row with part -1 that keeps the number."""
+        if version is None:
+            return {}
+        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/version={version}").collect()
+        return {row[_PART]: (row.holder, row.n_parts) for row in rows}
 
-    def _base(self) -> DataFrame:
-        ranges = self._current_ranges()
-        if not ranges:
+    def _base(self, manifest: dict[int, tuple[int, int]]) -> DataFrame:
+        held = [(holder, part) for part, (holder, _) in sorted(manifest.items()) if part >= 0]
+        if not held:
             return self.spark.createDataFrame([], self._base_schema)
-        return (
-            self.spark.read.schema(self._base_schema)
-            .option("basePath", f"{self.path}/base")
-            .parquet(*[f"{self.path}/base/version={v}/range={n}" for n, v in ranges.items()])
-        )
+        full = T.StructType([*self._base_schema.fields, T.StructField("version", T.LongType())])
+        reader = self.spark.read.schema(full).option("basePath", f"{self.path}/base")
+        return reader.parquet(*[f"{self.path}/base/version={v}/{_PART}={p}" for v, p in held]).drop("version")
 
     def _batches(self, after: int | None) -> list[int]:
         """Complete batches after a version: one that is being written is not read by half."""
         logged = numbered(self.spark, f"{self.path}/log", "batch_id")
         return [batch for batch in logged if after is None or batch > after]
 
-    def _log(self) -> DataFrame | None:
-        batches = self._batches(self._version())
-        if not batches:
-            return None
-        return (
-            self.spark.read.schema(self._log_schema)
-            .option("basePath", f"{self.path}/log")
-            .parquet(*[f"{self.path}/log/batch_id={b}" for b in batches])
-        )
+    def _log(self, batches: list[int]) -> DataFrame:
+        reader = self.spark.read.schema(self._log_schema).option("basePath", f"{self.path}/log")
+        return reader.parquet(*[f"{self.path}/log/batch_id={b}" for b in batches])
 
-    def _write_base(self, rows: DataFrame, version: int) -> None:
-        typed = rows.select(
-            *[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
-            F.col(DELETED),
-            self._range().alias("range"),
-        )
+    def _commit(self, rows: DataFrame, version: int, manifest: dict, replaced, n_parts: int) -> None:
+        """Write the rows of the ``replaced`` parts, then the manifest that makes them current."""
+        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], self._part(n_parts))
         (
-            typed.hint("rebalance", "range")
+            typed.hint("rebalance", _PART)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy("range")
+            .partitionBy(_PART)
             .parquet(f"{self.path}/base/version={version}")
         )
+        replaced = set(replaced)
+        new = [(part, holder, n_parts) for part, (holder, _) in manifest.items() if part not in replaced and part >= 0]
+        written = [part for holder, part in parts(self.spark, f"{self.path}/base", "version", _PART) if holder == version]
+        new += [(part, version, n_parts) for part in written] + [(-1, version, n_parts)]
+        table = self.spark.createDataFrame(new, _MANIFEST).coalesce(1)
+        # A second compaction to the same version fails here.
+        table.write.mode("error").parquet(f"{self.path}/manifest/version={version}")

@@ -12,17 +12,21 @@ from odsflow.sinks.paths import numbered_dates, remove
 BLOOM_COLUMNS = ("session_id", "user_id")
 
 
-def write_daily(events: DataFrame, path: str, bloom_columns: tuple[str, ...] = BLOOM_COLUMNS) -> None:
+def write_daily(
+    events: DataFrame, path: str, bloom_columns: tuple[str, ...] = BLOOM_COLUMNS, whole: bool = False
+) -> None:
     """Write events by day, in time order within files.
 
     ``rebalance`` sizes the files by what a day holds: a heavy day is split over several
-    tasks, light days share one. Bloom filters let point lookups skip row groups.
+    tasks, light days share one. Bloom filters let point lookups skip row groups. Days that
+    are not among the events stay as they are, unless the ``whole`` table is replaced.
     """
     writer = (
         events.hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "event_timestamp")
         .write.mode("overwrite")
         .partitionBy("event_date")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
     )
     for column in bloom_columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")

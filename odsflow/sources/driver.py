@@ -24,9 +24,8 @@ ROUTES = 20
 
 
 def _money(column: str | Column) -> Column:
-    # A line costs at most 50 times a unit price below 2,100, and a larger amount would raise
-    # an error. Spark multiplies and sums decimals of up to eight digits as whole numbers.
-    return (F.col(column) if isinstance(column, str) else column).cast("decimal(8,2)")
+    # Sums of this type have 28 digits, so no total of real amounts overflows.
+    return (F.col(column) if isinstance(column, str) else column).cast("decimal(18,2)")
 
 
 def _pick_name(names: tuple[str, ...], number: Column) -> Column:

@@ -27,13 +27,14 @@ def csv_schema(source: str) -> T.StructType:
 def read_csv(spark: SparkSession, path: str, source: str, year_shift: int = 0) -> DataFrame:
     """One CSV file or folder with a header, under the names and types of its target table.
 
-    Columns are matched by the header, so files may order them differently.
+    Columns are matched by the header, in any order; a folder whose files have different headers is
+    an error when it is read.
     """
     wanted = csv_schema(source)
     by_name = {f.name: f for f in wanted.fields}
     header = spark.read.option("header", "true").csv(path).columns
     declared = T.StructType([by_name.get(n, T.StructField(n, T.StringType())) for n in header])
-    rows = spark.read.option("header", "true").schema(declared).csv(path)
+    rows = spark.read.option("header", "true").option("enforceSchema", "false").schema(declared).csv(path)
     rows = rows.select(
         *[F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields]
     )

@@ -8,7 +8,8 @@ from functools import partial
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from odsflow.schemas import CLICK_TOPIC
+from odsflow.operators import clicks as operators
+from odsflow.schemas import CHANGE_FEEDS, CLICK_TOPIC
 from odsflow.session import build_session
 from odsflow.sources.topics import read_topic, read_topic_files
 from odsflow.streaming import changes, clicks
@@ -23,13 +24,23 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
     trigger = {"availableNow": True} if options.once else {}
     root, checkpoint = options.root, f"{options.checkpoint}/{options.stream}"
     if options.stream == "changes":
-        started = changes.start_all(spark, options.servers, root, checkpoint, read, **trigger)
+        started = changes.start_all(spark, options.servers, root, checkpoint, read, options.max_offsets, **trigger)
         return list(started.values())
-    messages = partial(read, spark, options.servers, CLICK_TOPIC, options.max_offsets)
-    return [
-        clicks.start_valid(messages(), f"{root}/dwd_clickstream_events", checkpoint, **trigger),
+    limit = 5000 if options.max_offsets is None else options.max_offsets or None
+    messages = partial(read, spark, options.servers, CLICK_TOPIC, limit)
+    products = None
+    if options.enrich:
+        # A new object for each batch, which lists the files that are current then.
+        products = lambda: changes.keyed_table(spark, root, CHANGE_FEEDS["products"]).read()
+    started = [
+        clicks.start_valid(messages(), f"{root}/dwd_clickstream_events", checkpoint, products=products, **trigger),
         clicks.start_dead_letters(messages(), f"{root}/ods_clickstream_deadletter", checkpoint, **trigger),
     ]
+    if options.windows:
+        events = operators.enrich(operators.valid(operators.parse(messages())))
+        path = f"{root}/clickstream_window_counts"
+        started.append(clicks.start_window_counts(events, path, checkpoint, **trigger))
+    return started
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -40,7 +51,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", default="", help="Kafka brokers")
     source.add_argument("--archive", default="", help="folder of archived topics")
-    parser.add_argument("--max-offsets", type=int, default=5000, help="messages per batch of the click topic")
+    parser.add_argument("--max-offsets", type=int, help="messages per batch, 0 for no bound (5,000 clicks by default)")
+    parser.add_argument("--enrich", action="store_true", help="add the product's category to clicks")
+    parser.add_argument("--windows", action="store_true", help="also write five-minute counts of clicks")
     parser.add_argument("--once", action="store_true", help="stop when all present messages are done")
     return parser.parse_args(arguments)
 

@@ -21,7 +21,14 @@ class ErrorBudgetExceeded(RuntimeError):
     """More rows of a batch were rejected than the feed allows."""
 
 
-def apply_batch(batch: DataFrame, batch_id: int, feed: ChangeFeed, table: KeyedTable, dead_letters: str) -> None:
+def apply_batch(
+    batch: DataFrame,
+    batch_id: int,
+    feed: ChangeFeed,
+    table: KeyedTable,
+    dead_letters: str,
+    checkpoint: str | None = None,
+) -> None:
     """Log the good rows of a batch. Rejected ones are kept first; when they are more than the
     budget the batch is not applied."""
     envelopes = changes.decode(batch, feed, *POSITION).persist()
@@ -33,11 +40,11 @@ def apply_batch(batch: DataFrame, batch_id: int, feed: ChangeFeed, table: KeyedT
         )
         rejected = bad.count()
         if rejected:
-            append_batch(bad, dead_letters, batch_id, DEAD_LETTERS.fieldNames())
+            append_batch(bad, dead_letters, batch_id, DEAD_LETTERS.fieldNames(), checkpoint=checkpoint)
         if rejected > feed.error_budget:
             raise ErrorBudgetExceeded(f"{feed.table}: batch {batch_id} has {rejected} rejected rows")
         good = envelopes.where(~changes.is_rejected(feed))
-        table.append(changes.flatten(good, feed, *POSITION), batch_id)
+        table.append(changes.flatten(good, feed, *POSITION), batch_id, checkpoint)
     finally:
         envelopes.unpersist()
 
@@ -46,7 +53,7 @@ def start_feed(
     messages: DataFrame, feed: ChangeFeed, table: KeyedTable, dead_letters: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, feed, table, dead_letters)
+        apply_batch(batch, batch_id, feed, table, dead_letters, f"{checkpoint}/{feed.table}")
 
     return (
         messages.writeStream.foreachBatch(write)
@@ -62,13 +69,16 @@ def start_all(
     servers: str,
     root: str,
     checkpoint: str,
-    read: Callable[[SparkSession, str, str, int], DataFrame] = read_topic,
+    read: Callable[[SparkSession, str, str, int | None], DataFrame] = read_topic,
+    max_offsets: int | None = None,
     **trigger,
 ) -> dict[str, StreamingQuery]:
-    """All feeds, each with its own checkpoint."""
+    """All feeds, each with its own checkpoint. ``max_offsets`` bounds the messages of a batch instead
+    of the feed's own number; 0 stands for no bound."""
+    bound = lambda feed: feed.max_rows_per_batch if max_offsets is None else max_offsets or None
     return {
         feed.table: start_feed(
-            read(spark, servers, feed.topic, feed.max_rows_per_batch),
+            read(spark, servers, feed.topic, bound(feed)),
             feed,
             keyed_table(spark, root, feed),
             f"{root}/dead_letters/{feed.table}",

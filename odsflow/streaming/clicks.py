@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import Counter
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from odsflow.operators import clicks
 from odsflow.operators.joins import lookup_join
@@ -17,13 +20,13 @@ def start_valid(
     path: str,
     checkpoint: str,
     watermark: str = clicks.WATERMARK,
-    products: DataFrame | None = None,
+    products: Callable[[], DataFrame] | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Parse, check, deduplicate, enrich and append.
 
-    With ``products`` each batch is also joined to the product table as it is at that time,
-    which adds ``product_category``.
+    With ``products`` each batch is also joined to the product table that the function gives at
+    that time, which adds ``product_category``.
     """
     stream = clicks.deduplicate(clicks.valid(clicks.parse(messages)), watermark)
     columns = EVENTS.fieldNames()
@@ -31,9 +34,9 @@ def start_valid(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows, names = clicks.enrich(batch), list(columns)
         if products is not None:
-            rows = with_category(rows, products)
+            rows = with_category(rows, products())
             names.append("product_category")
-        append_batch(rows, path, batch_id, names, ["event_date"])
+        append_batch(rows, path, batch_id, names, ["event_date"], f"{checkpoint}/valid-events")
 
     return _start(stream, write, checkpoint, "valid-events", trigger or {"processingTime": "5 seconds"})
 
@@ -43,7 +46,8 @@ def start_dead_letters(messages: DataFrame, path: str, checkpoint: str, **trigge
     stream = clicks.parse(messages)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch(clicks.dead_letters(batch), path, batch_id, DEAD_LETTERS.fieldNames())
+        columns = DEAD_LETTERS.fieldNames()
+        append_batch(clicks.dead_letters(batch), path, batch_id, columns, checkpoint=f"{checkpoint}/dead-letters")
 
     return _start(stream, write, checkpoint, "dead-letters", trigger or {"processingTime": "10 seconds"})
 
@@ -82,13 +86,41 @@ def window_counts(events: DataFrame, watermark: str = clicks.WATERMARK, length:
     )
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows the query has dropped because they were older than the watermark."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts, per query, the rows dropped because they were older than the watermark.
+
+    A query itself remembers its last progress reports only; the listener adds up all of them.
+    """
+
+    def __init__(self):
+        self.dropped: Counter[str] = Counter()
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.dropped[str(progress.id)] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+def count_late(spark: SparkSession) -> LateRows:
+    """Count late rows of all queries that start from now on."""
+    late = LateRows()
+    spark.streams.addListener(late)
+    return late
+
+
+def start_window_counts(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append the counts of every window that is final."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, path, batch_id, batch.columns, checkpoint=f"{checkpoint}/window-counts")
+
+    return _start(window_counts(events), write, checkpoint, "window-counts", trigger or {"processingTime": "1 minute"})
 
 
 def _start(stream: DataFrame, write, checkpoint: str, name: str, trigger: dict) -> StreamingQuery:

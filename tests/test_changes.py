@@ -7,6 +7,7 @@ import json
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from odsflow.operators import changes, keyed
 from odsflow.schemas import CHANGE_FEEDS
 from odsflow.sinks.append import read_batches
 from odsflow.sinks.paths import numbered, parts
+from odsflow.sources.topics import read_topic_files
+from odsflow.streaming import changes as change_streams
 from odsflow.streaming.changes import ErrorBudgetExceeded, apply_batch, keyed_table
 
 CENTRES, ITEMS = CHANGE_FEEDS["distribution_centers"], CHANGE_FEEDS["order_items"]
@@ -91,25 +94,34 @@ def test_batching_and_compaction_do_not_matter(spark, tmp_path, cuts):
     assert numbered(spark, f"{tmp_path}/{CENTRES.table}/log", "batch_id") == []
 
 
-def test_compaction_rewrites_only_touched_ranges(spark, tmp_path):
+def folders(spark, tmp_path):
+    found = parts(spark, f"{tmp_path}/{CENTRES.table}/base", "version", "table_part")
+    return {version: sorted(part for v, part in found if v == version) for version, _ in found}
+
+
+def test_compaction_rewrites_only_touched_parts(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path), CENTRES)
-    table.span = 10
+    table.n_parts = 50
     schema = "id bigint, name string, latitude double, longitude double"
     table.load(spark.createDataFrame([(n, "old", None, None) for n in (3, 15, 27, 28)], schema))
+    table.n_parts = 7  # the number recorded with the table counts
     with pytest.raises(ValueError):
         table.load(spark.createDataFrame([], schema))
-    base = f"{tmp_path}/{CENTRES.table}/base"
-    # One range changes, one loses its only row, one is new, one is left alone.
+    loaded = folders(spark, tmp_path)[-1]
+    assert len(loaded) == 4
+    # One part changes, one loses its only row, one is new, two are left alone.
     log = [message("u", None, centre(28, "new")), message("d", {"id": 15}), message("c", None, centre(-4, "low"))]
     apply(spark, table, log, 0, 1, tmp_path)
     expected = [(-4, "low"), (27, "old"), (28, "new"), (3, "old")]
     assert state(table) == expected
     assert table.compact() == 0
     assert table.compact() is None
-    assert sorted(parts(spark, base, "version", "range")) == [(-1, 0), (-1, 1), (-1, 2), (0, -1), (0, 1), (0, 2)]
+    found = folders(spark, tmp_path)
+    assert found[-1] == loaded and len(found[0]) == 2
     assert state(table) == expected
     table.vacuum()
-    assert sorted(parts(spark, base, "version", "range")) == [(-1, 0), (0, -1), (0, 1), (0, 2)]
+    found = folders(spark, tmp_path)
+    assert len(found[-1]) == 2 and len(found[0]) == 2
     assert state(table) == expected
     # The deleted key comes back.
     apply(spark, table, [message("c", None, centre(15, "again"))], 1, 4, tmp_path)
@@ -118,15 +130,66 @@ def test_compaction_rewrites_only_touched_ranges(spark, tmp_path):
     assert state(table) == sorted([*expected, (15, "again")], key=str)
 
 
+def test_a_batch_that_arrives_while_compacting_is_kept(spark, tmp_path, monkeypatch):
+    table = keyed_table(spark, str(tmp_path), CENTRES)
+    apply(spark, table, [message("c", None, centre(1, "10"))], 0, 1, tmp_path)
+    commit = type(table)._commit
+
+    def late(self, *arguments):
+        apply(spark, table, [message("u", None, centre(1, "99"))], 1, 2, tmp_path)
+        commit(self, *arguments)
+
+    monkeypatch.setattr(type(table), "_commit", late)
+    assert table.compact() == 0
+    monkeypatch.setattr(type(table), "_commit", commit)
+    assert state(table) == [(1, "99")]
+    # Another one between compaction and clean-up.
+    apply(spark, table, [message("u", None, centre(1, "100"))], 2, 3, tmp_path)
+    table.vacuum()
+    assert state(table) == [(1, "100")]
+    assert table.compact() == 2
+    table.vacuum()
+    assert state(table) == [(1, "100")]
+
+
+def test_hashed_keys_give_a_bounded_number_of_folders(spark, tmp_path):
+    table = keyed_table(spark, str(tmp_path), CENTRES)
+    table.n_parts = 8
+    ids = spark.range(300).select(
+        F.xxhash64("id").alias("id"), F.lit("x").alias("name"), F.lit(None).cast("double").alias("latitude"),
+        F.lit(None).cast("double").alias("longitude"),
+    )
+    table.load(ids)
+    assert len(folders(spark, tmp_path)[-1]) <= 8
+    assert table.read().count() == 300
+
+
+def test_another_checkpoint_is_refused(spark, tmp_path):
+    def run(checkpoint):
+        topic(spark, LOG[:2], 1).write.mode("overwrite").parquet(f"{tmp_path}/topic")
+        table = keyed_table(spark, str(tmp_path), CENTRES)
+        query = change_streams.start_feed(
+            read_topic_files(spark, f"{tmp_path}/topic"), CENTRES, table, f"{tmp_path}/dead", f"{tmp_path}/{checkpoint}",
+            availableNow=True,
+        )
+        query.awaitTermination()
+        return state(table)
+
+    assert run("one") == STATES[1]
+    assert run("one") == STATES[1]
+    with pytest.raises(StreamingQueryException, match="belongs to stream"):
+        run("two")
+    assert state(keyed_table(spark, str(tmp_path), CENTRES)) == STATES[1]
+
+
 def test_unfinished_version_is_not_read(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path), CENTRES)
     apply(spark, table, LOG[:2], 0, 1, tmp_path)
     table.compact()
-    half = f"{tmp_path}/{CENTRES.table}/base/version=9"
+    path = f"{tmp_path}/{CENTRES.table}"
+    table.read().limit(0).withColumn("table_part", F.lit(0)).write.partitionBy("table_part").parquet(f"{path}/base/version=9")
     option = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    table.read().limit(0).withColumn("is_deleted", F.lit(0)).withColumn("range", F.lit(0)).write.option(
-        option, "false"
-    ).partitionBy("range").parquet(half)
+    spark.range(1).write.option(option, "false").parquet(f"{path}/manifest/version=9")
     assert state(table) == STATES[1]
 
 
@@ -200,7 +263,7 @@ def test_any_log_in_any_batching(spark, tmp_path, seed):
     """Random changes, cuts, replays and compactions against a dictionary."""
     choose = random.Random(seed)
     table = keyed_table(spark, str(tmp_path), CENTRES)
-    table.span = 3
+    table.n_parts = 3
     model, log = {}, []
     for n in range(60):
         key = choose.choice([1, 1, 1, 2, 3, 4, 7, 8])  # one key has more than a third of the changes

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -62,10 +63,11 @@ def test_normalise_clicks(spark):
     data = [("1", "a", "t"), ("0", "a", "t"), (None, "a", "t"), ("2", None, "t"), ("3", "", "t"), ("4", "b", None), ("5", "b", "")]
     now = F.lit(dt.datetime(2024, 1, 1))
     found = ingest.normalise_clicks(spark.createDataFrame(data, schema), now)
-    assert tuple(ingest.acceptance(found).first()) == (3, 4)
+    assert tuple(ingest.acceptance(found).first()) == (4, 3)
     messages = ingest.to_topic(found).select("key", F.col("value").cast("string"), "topic")
     stamp = "2024-01-01T00:00:00.000000"
     assert rows(messages) == [
+        ("a", '{"id":"0","session_id":"a","created_at":"t"}', "clickstream-events"),
         ("a", '{"id":"1","session_id":"a","created_at":"t"}', "clickstream-events"),
         ("b", f'{{"id":"4","session_id":"b","created_at":"{stamp}"}}', "clickstream-events"),
         ("b", f'{{"id":"5","session_id":"b","created_at":"{stamp}"}}', "clickstream-events"),
@@ -84,3 +86,25 @@ def test_normalise_users_sets_both_times_together(spark):
         ("2", True, stamp, stamp),
         ("3", True, "c", None),
     ]
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    for name, text in (("a", "id,name,brand\n1,nameA,brandA\n"), ("b", "id,brand,name\n2,brandB,nameB\n")):
+        (tmp_path / "products.csv").mkdir(exist_ok=True)
+        (tmp_path / "products.csv" / f"{name}.csv").write_text(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "products.csv"), "products").collect()
+
+
+def test_zero_as_text_is_a_value(spark):
+    rows = spark.createDataFrame([(0, "s", None), (1, "0", ""), (2, "", "t"), (None, "s", "t")], "id bigint, session_id string, created_at string")
+    assert [r.accepted for r in ingest.normalise_clicks(rows).collect()] == [False, True, False, False]
+    text = spark.createDataFrame([("0", "t", "t"), ("", "t", "t"), (None, "t", "t")], "id string, created_at string, updated_at string")
+    assert [r.accepted for r in ingest.normalise_users(text).collect()] == [True, False, False]
+
+
+def test_totals_have_no_ceiling(spark):
+    from odsflow.sources.driver import _money
+
+    large = spark.range(40).select(_money(F.lit("9999999999999999.00")).alias("v"))
+    assert str(large.agg(F.sum("v")).first()[0]) == "399999999999999960.00"

@@ -2,13 +2,18 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import shutil
+import time
 
+import pytest
 from conftest import rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from odsflow.operators import clicks
 from odsflow.schemas import BAD_JSON, CHANGE_FEEDS, DEAD_LETTERS, EVENTS, TOPIC_ROW
 from odsflow.sinks.append import append_batch, read_batches
+from odsflow.sinks.events import EventTable
 from odsflow.sources.topics import read_topic_files
 from odsflow.streaming import changes as change_streams
 from odsflow.streaming import clicks as click_streams
@@ -51,9 +56,13 @@ def test_duplicates_and_late_rows(spark, tmp_path):
     assert ids(spark, tmp_path) == [1, 2]
     late = [click(2, "10:20"), click(3, "10:15"), click(4, "10:05"), click(1, "10:00")]
     put(spark, f"{tmp_path}/topic", late, 5)
+    counted = click_streams.count_late(spark)
     query = run_valid(spark, tmp_path)
     assert ids(spark, tmp_path) == [1, 2, 3]
-    assert click_streams.dropped_late(query) == 2
+    while str(query.runId) not in counted.ended:  # reports come a little later
+        time.sleep(0.1)
+    spark.streams.removeListener(counted)
+    assert counted.dropped[str(query.id)] == 2
 
 
 def test_run_without_new_messages(spark, tmp_path):
@@ -99,12 +108,59 @@ def test_stream_equals_batch(spark, tables, tmp_path):
     assert rows(read_batches(spark, f"{tmp_path}/events", EVENTS).select(*names)) == rows(batch)
 
 
-def test_products_are_joined_when_given(spark, tmp_path):
-    products = spark.createDataFrame([(5, "Hats")], "product_id bigint, category string")
+def test_products_are_those_of_the_time_of_the_batch(spark, tmp_path):
+    topic = lambda n, text: dt.datetime(2024, 1, 1, 0, 0, n)
+    feed = CHANGE_FEEDS["products"]
+    table = change_streams.keyed_table(spark, str(tmp_path), feed)
+
+    def change(batch, category):
+        body = json.dumps({"op": "c", "before": None, "after": {"id": 5, "category": category}})
+        row = [(None, bytearray(body.encode()), feed.topic, 0, batch, topic(batch, body))]
+        change_streams.apply_batch(spark.createDataFrame(row, TOPIC_ROW), batch, feed, table, f"{tmp_path}/dead")
+
+    change(0, "Hats")
     put(spark, f"{tmp_path}/topic", [click(1, "10:00", "product", uri="/product/5"), click(2, "10:01")])
-    run_valid(spark, tmp_path, products=products)
+    run_valid(spark, tmp_path, products=table.read)
+    change(1, "Caps")
+    table.compact()
+    table.vacuum()
+    put(spark, f"{tmp_path}/topic", [click(3, "10:02", "product", uri="/product/5")], 2)
+    run_valid(spark, tmp_path, products=table.read)
     found = spark.read.parquet(f"{tmp_path}/events").select("event_id", "product_category")
-    assert rows(found) == [(1, "Hats"), (2, None)]
+    assert rows(found) == [(1, "Hats"), (2, None), (3, "Caps")]
+
+
+def test_another_checkpoint_is_refused(spark, tmp_path):
+    put(spark, f"{tmp_path}/topic", [click(1, "10:00")])
+    run_valid(spark, tmp_path)
+    shutil.rmtree(f"{tmp_path}/checkpoint")
+    with pytest.raises(StreamingQueryException, match="belongs to stream"):
+        run_valid(spark, tmp_path)
+    assert ids(spark, tmp_path) == [1]
+
+
+def test_upkeep_of_the_event_table(spark, tmp_path):
+    events = EventTable(spark, f"{tmp_path}/events", EVENTS)
+    assert events.read().count() == 0 and events.move() is None
+    seen = []
+    for day, key in enumerate((1, 2, 3, 4)):
+        body = json.dumps({"id": key, "session_id": "s", "event_type": "home", "created_at": f"2024-01-{10 + day}T10:00:00"})
+        put(spark, f"{tmp_path}/topic", [body], key)
+        run_valid(spark, tmp_path)
+        seen.append(key)
+        assert sorted(r.event_id for r in events.read().collect()) == seen
+        if key == 2:
+            assert events.move() is not None and events.move() is None
+            assert sorted(r.event_id for r in events.read().collect()) == seen
+            assert events.drop_moved()
+        if key == 3:
+            events.move()
+    assert sorted(r.event_id for r in events.read().collect()) == seen
+    gone = events.drop_expired(dt.date(2024, 1, 20))
+    assert gone == [dt.date(2024, 1, 10), dt.date(2024, 1, 11), dt.date(2024, 1, 12)]
+    assert [r.event_id for r in events.read().collect()] == [4]
+    run_valid(spark, tmp_path)
+    assert [r.event_id for r in events.read().collect()] == [4]
 
 
 def test_window_counts(spark, tmp_path):
