@@ -40,6 +40,13 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(WORD_BYTES).split()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task makes of them stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, dict]]:
     """Groups of equal ``key`` in batches that are sorted by it: the key and its columns.
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import WORD_BYTES, table
+from odsflow.llm.common import WORD_BYTES, slices, table
 
 WINDOW = 10
 #: Words of one index; longer inputs are cut with an overlap of a window.
@@ -314,7 +314,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
 
         def scan(batches: Iterator[pa.RecordBatch], out=out, shared=shared) -> Iterator[pa.RecordBatch]:
             block_tests = Tests(shared.value)
-            for batch in batches:
+            for batch in slices(batches, 2000):
                 texts = batch.column("text").cast(pa.binary()).to_pylist()
                 words, hits, items, spans = _scan(texts, block_tests)
                 if "dc_items" in batch.schema.names:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import table, words
+from odsflow.llm.common import slices, table, words
 
 # Phrases that the base rule looks for, and their labels.
 PHRASES = {
@@ -242,7 +242,7 @@ def scan(docs: DataFrame, keep: list[str], phrases: dict[str, str] = PHRASES, te
         sizes = [automaton.length(i) for i in range(len(names))]
         heads = [automaton.first_words(i) for i in range(len(names))]
         arrow = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in slices(batches, 2000):
             counts, bases, fulls = [], [], []
             for text in batch.column("text").to_pylist():
                 split = words(text)

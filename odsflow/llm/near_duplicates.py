@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import components, sorted_groups, table, words, written
+from odsflow.llm.common import components, slices, sorted_groups, table, words, written
 
 SHINGLE = 5
 #: Two texts are linked when nine times their common shingles reach four times the sum of their sizes.
@@ -126,7 +126,7 @@ def _staged(docs: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2000):
             sets = shingle_sets(batch.column("whole").to_pylist())
             flat = np.concatenate([minimal_hashes(s) for s in sets]) if sets else np.empty(0, np.int32)
             offsets = np.arange(len(sets) + 1, dtype=np.int32) * HASHES
@@ -332,7 +332,7 @@ def near_classes(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, Da
     whole = staged.select(F.col("rid").alias("node"), "whole").join(members, "node")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2000):
             sets = [s.tobytes() for s in shingle_sets(batch.column("whole").to_pylist())]
             columns = [batch.column("node"), batch.column("tasks"), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "tasks", "shingles"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import table
+from odsflow.llm.common import slices, table
 
 #: Labelled documents the field is fitted on, at most.
 SAMPLE_DOCS = 6000
@@ -247,7 +247,7 @@ def classify(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
     schema = T.StructType([f for f in frame.schema.fields if f.name in keep] + [T.StructField("quality_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names = [c for c in batch.schema.names if c in keep]
             found = scores(batch.column("text").to_pylist(), field)
             yield pa.RecordBatch.from_arrays(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import table
+from odsflow.llm.common import slices, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of different words that are indexed at once.
@@ -288,22 +288,16 @@ def encode(docs: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Model(path))
-        for batch in batches:
-            for piece in _slices(batch):
-                ids, sizes = encoder.encode(piece.column("text").to_pylist())
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                names = [c for c in piece.schema.names if c in keep]
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), lists], names=[*names, "sp_ids"])
+        for piece in slices(batches, 1000):
+            ids, sizes = encoder.encode(piece.column("text").to_pylist())
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            names = [c for c in piece.schema.names if c in keep]
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), lists], names=[*names, "sp_ids"])
 
     return frame.mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
-
-
 def decode(encoded: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
     """Rows (``keep``, ``sp_text``): the text of the ids in ``sp_ids``; null ids give null, none give
     an empty text. A literal word mark of the original comes back as a space."""
@@ -313,14 +307,13 @@ def decode(encoded: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(path)
-        for batch in batches:
-            for piece in _slices(batch):
-                lists = piece.column("sp_ids").to_pylist()
-                texts = [None if ids is None else model.decode(ids) for ids in lists]
-                names = [c for c in piece.schema.names if c in keep]
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, "sp_text"]
-                )
+        for piece in slices(batches, 1000):
+            lists = piece.column("sp_ids").to_pylist()
+            texts = [None if ids is None else model.decode(ids) for ids in lists]
+            names = [c for c in piece.schema.names if c in keep]
+            yield pa.RecordBatch.from_arrays(
+                [*(piece.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, "sp_text"]
+            )
 
     return frame.mapInArrow(run, schema)
 
@@ -340,21 +333,20 @@ def summaries(docs: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
         encoder = Encoder(model)
         byte_id = np.zeros(len(model.decoded), bool)
         byte_id[model.byte] = True
-        for batch in batches:
-            for piece in _slices(batch):
-                texts = piece.column("text").to_pylist()
-                ids, sizes = encoder.encode(texts)
-                bounds = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-                spelled, digests, same = [], [], []
-                for text, a, b in zip(texts, bounds, bounds[1:]):
-                    mine = ids[a:b]
-                    listed = mine.tolist()
-                    spelled.append(int(byte_id[mine].sum()))
-                    digests.append(hashlib.sha256(",".join(map(str, listed)).encode()).hexdigest())
-                    same.append(model.decode(listed) == (text or "").replace(_MARK, " "))
-                kept = [c for c in piece.schema.names if c in keep]
-                columns = [pa.array(sizes, pa.int64()), pa.array(spelled, pa.int64()), pa.array(digests), pa.array(same)]
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *columns], names=[*kept, *names])
+        for piece in slices(batches, 1000):
+            texts = piece.column("text").to_pylist()
+            ids, sizes = encoder.encode(texts)
+            bounds = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            spelled, digests, same = [], [], []
+            for text, a, b in zip(texts, bounds, bounds[1:]):
+                mine = ids[a:b]
+                listed = mine.tolist()
+                spelled.append(int(byte_id[mine].sum()))
+                digests.append(hashlib.sha256(",".join(map(str, listed)).encode()).hexdigest())
+                same.append(model.decode(listed) == (text or "").replace(_MARK, " "))
+            kept = [c for c in piece.schema.names if c in keep]
+            columns = [pa.array(sizes, pa.int64()), pa.array(spelled, pa.int64()), pa.array(digests), pa.array(same)]
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *columns], names=[*kept, *names])
 
     return frame.mapInArrow(run, schema)
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import sorted_groups, table, written
+from odsflow.llm.common import slices, sorted_groups, table, written
 
 WINDOW = 200
 #: Bytes of the grams that anchor a window, at first and for crowded anchors.
@@ -430,7 +430,7 @@ def repeated_spans(docs: DataFrame) -> Repeats:
     )
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("whole").to_pylist()
             owner, *values = stretches(texts, GRAMS[0])
             offsets = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
@@ -498,7 +498,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             whole, spans = batch.column("whole").to_pylist(), batch.column("spans").to_pylist()
             texts = [without_spans(w, s).decode("utf-8", "ignore") if s else w.decode() for w, s in zip(whole, spans)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])

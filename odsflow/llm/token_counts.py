@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import table
+from odsflow.llm.common import slices, table
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how the tokenizer splits a text before encoding the parts.
@@ -163,7 +163,7 @@ def edited_counts(docs: DataFrame, keep: list[str], edits=redactions, path: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
-        for batch in batches:
+        for batch in slices(batches, 1000):
             rows = []
             for text in batch.column("text").to_pylist():
                 text = text or ""
