@@ -28,11 +28,15 @@ def recent(
 ) -> DataFrame:
     """Rows of the last ``interval`` before ``as_of`` (the newest row when not given).
 
-    ``date_column`` names the partition column; bounding it too is what prunes partitions.
+    ``date_column`` names the partition column, the day of ``column``; bounding it too is what
+    prunes partitions, and the newest row is looked for in the newest partition only.
     """
     back = F.expr(f"INTERVAL {interval}")
+    newest = df
+    if as_of is None and date_column:
+        newest = df.where(F.col(date_column) == latest(df, date_column))
     # The subtraction is part of the subquery: a bare subquery is what the scan can push down.
-    start = df.agg(F.max(column) - back).scalar() if as_of is None else as_moment(as_of) - back
+    start = newest.agg(F.max(column) - back).scalar() if as_of is None else as_moment(as_of) - back
     kept = df.where(F.col(column) >= start)
     if date_column:
         kept = kept.where(F.col(date_column) >= start.cast("date"))

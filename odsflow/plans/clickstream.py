@@ -95,13 +95,17 @@ def _duration() -> Column:
 
 
 def session_base(events: DataFrame) -> DataFrame:
-    """One row per session: who, when, how much, and which steps were reached."""
+    """One row per session: who, when, how much, and which steps were reached.
+
+    The labels are grouping keys first, so that raw events are hashed; a minimum over text would
+    sort them. Only the few rows per session that are left meet the minimum.
+    """
+    merged = [merge(name).alias(name) for name, merge in _MERGE.items()]
     return (
-        events.groupBy("session_id")
-        .agg(
-            *[F.min(label).alias(label) for label in _LABELS],
-            *[measure.alias(name) for name, measure in _session_measures().items()],
-        )
+        events.groupBy("session_id", *_LABELS)
+        .agg(*[measure.alias(name) for name, measure in _session_measures().items()])
+        .groupBy("session_id")
+        .agg(*[F.min(label).alias(label) for label in _LABELS], *merged)
         .withColumn("session_duration_seconds", _duration())
     )
 

@@ -1,7 +1,8 @@
 """Sales and click dashboards: one aggregate over a mart per chart.
 
 Additive measures of a mart are computed straight from its detail table: the sum over a
-summary equals the sum over its rows, without grouping twice.
+summary equals the sum over its rows, without grouping twice. Where the mart is stored, charts
+take it as ``mart`` instead; its date column bounds what is read.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odsflow.functions.measures import count_where, ratio
-from odsflow.functions.times import Moment, in_range
+from odsflow.functions.times import Moment, as_moment, in_range
 from odsflow.plans.clickstream import session_base, sessions
 from odsflow.plans.sales import sales_summary
 
@@ -78,10 +79,29 @@ def revenue_by_gender(sales: DataFrame, within: Range) -> DataFrame:
     return top_groups(summed, ["user_gender"], "revenue", PIE_ROWS)
 
 
-def monthly_trend(items: DataFrame, products: DataFrame, users: DataFrame, within: Range) -> DataFrame:
-    daily = sales_summary(
-        within.on(items, "created_at"), products, users, ("order_date",), ("total_revenue", "total_profit")
+def _stored(mart: DataFrame, within: Range, time: str, date: str) -> DataFrame:
+    """Rows of a stored mart in a range of its times, with the same range of days for its partitions."""
+    days = Range(
+        None if within.start is None else as_moment(within.start).cast("date"),
+        None if within.end is None else F.date_add(as_moment(within.end).cast("date"), 1),
     )
+    return days.on(within.on(mart, time), date)
+
+
+def monthly_trend(
+    items: DataFrame | None,
+    products: DataFrame | None,
+    users: DataFrame | None,
+    within: Range,
+    mart: DataFrame | None = None,
+) -> DataFrame:
+    """Revenue and profit by month, from items or from the stored hourly sales."""
+    if mart is not None:
+        daily = _stored(mart, within, "order_hour", "order_date")
+    else:
+        daily = sales_summary(
+            within.on(items, "created_at"), products, users, ("order_date",), ("total_revenue", "total_profit")
+        )
     return (
         daily.groupBy(F.trunc("order_date", "month").alias("month"))
         .agg(F.sum("total_revenue").alias("revenue"), F.sum("total_profit").alias("profit"))
@@ -90,12 +110,23 @@ def monthly_trend(items: DataFrame, products: DataFrame, users: DataFrame, withi
 
 
 def revenue_by(
-    items: DataFrame, products: DataFrame, users: DataFrame, within: Range, keys: list[str], rows: int = BAR_ROWS
+    items: DataFrame | None,
+    products: DataFrame | None,
+    users: DataFrame | None,
+    within: Range,
+    keys: list[str],
+    rows: int = BAR_ROWS,
+    mart: DataFrame | None = None,
 ) -> DataFrame:
-    """Revenue by product category, department, user country, or several of them."""
-    summed = sales_summary(
-        within.on(items, "created_at"), products, users, tuple(keys), ("total_revenue",)
-    ).withColumnRenamed("total_revenue", "revenue")
+    """Revenue by product category, department, user country, or several of them, from items or from
+    the stored hourly sales."""
+    if mart is not None:
+        hours = _stored(mart, within, "order_hour", "order_date")
+        summed = hours.groupBy(*keys).agg(F.sum("total_revenue").alias("revenue"))
+    else:
+        summed = sales_summary(
+            within.on(items, "created_at"), products, users, tuple(keys), ("total_revenue",)
+        ).withColumnRenamed("total_revenue", "revenue")
     return top_groups(summed, keys, "revenue", rows)
 
 
@@ -112,12 +143,19 @@ def top_products(performance: DataFrame, rows: int = TABLE_ROWS) -> DataFrame:
 # -- clicks ------------------------------------------------------------------
 
 
-def session_figures(events: DataFrame, within: Range) -> DataFrame:
+def _started(events: DataFrame | None, within: Range, mart: DataFrame | None) -> DataFrame:
+    """Sessions that started in the range, from events or from the stored sessions."""
+    if mart is not None:
+        return _stored(mart, within, "session_start", "session_date")
+    return within.on(session_base(events), "session_start")
+
+
+def session_figures(events: DataFrame | None, within: Range, mart: DataFrame | None = None) -> DataFrame:
     """Sessions, purchases and purchases per hundred sessions.
 
     After the grouping there is one row per session, so counting rows counts sessions.
     """
-    started = within.on(session_base(events), "session_start")
+    started = _started(events, within, mart)
     bought, count = F.sum("purchase_count"), F.count("session_id")
     return started.agg(
         count.alias("sessions"),
@@ -144,20 +182,24 @@ def events_by_day(events: DataFrame, within: Range) -> DataFrame:
     )
 
 
-def sessions_by(events: DataFrame, within: Range, label: str, rows: int) -> DataFrame:
+def sessions_by(
+    events: DataFrame | None, within: Range, label: str, rows: int, mart: DataFrame | None = None
+) -> DataFrame:
     """Sessions by traffic source or browser."""
     counted = (
-        within.on(session_base(events), "session_start")
+        _started(events, within, mart)
         .groupBy(label)
         .agg(F.count("session_id").alias("sessions"))
     )
     return top_groups(counted, [label], "sessions", rows)
 
 
-def funnel_by_category(events: DataFrame, products: DataFrame, within: Range) -> DataFrame:
+def funnel_by_category(
+    events: DataFrame | None, products: DataFrame | None, within: Range, mart: DataFrame | None = None
+) -> DataFrame:
+    started = within.on(sessions(events, products), "session_start") if mart is None else _started(None, within, mart)
     counted = (
-        within.on(sessions(events, products), "session_start")
-        .groupBy("top_category")
+        started.groupBy("top_category")
         .agg(
             F.count("session_id").alias("sessions"),
             count_where(F.col("saw_product")).alias("viewed_product"),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odsflow.operators.joins import fits_broadcast
 from odsflow.schemas import EVENT_TYPES, ORDER_STATUSES, TEXT_LENGTHS
 
 #: Table, primary key, and the rule set. A rule that is null passes, as a CHECK does.
@@ -66,14 +66,17 @@ FOREIGN_KEYS = (
 )
 
 
-def check_rules(tables: dict[str, DataFrame]) -> DataFrame:
+def check_rules(tables: dict[str, DataFrame], keys: dict[str, DataFrame] | None = None) -> DataFrame:
     """``(table_name, rule, violations)``.
 
     Row rules take one pass over a table and send one row per task. Keys are checked apart
     from them: in one aggregate, every key would carry the counters of all rules through
-    the shuffle.
+    the shuffle. ``keys`` may hold, per table, a narrower frame that has its key: what a table's
+    other columns need, joins included, is then left out.
     """
-    return _union([check for name, df in tables.items() for check in (_row_rules(name, df), _key_rule(name, df))])
+    narrow = {**tables, **(keys or {})}
+    checks = [(_row_rules(name, df), _key_rule(name, narrow[name])) for name, df in tables.items()]
+    return _union([check for pair in checks for check in pair])
 
 
 def _row_rules(name: str, df: DataFrame) -> DataFrame:
@@ -88,28 +91,33 @@ def _row_rules(name: str, df: DataFrame) -> DataFrame:
 
 def _key_rule(name: str, df: DataFrame) -> DataFrame:
     """Rows without a key, and rows that repeat one."""
-    return df.agg((F.count(F.lit(1)) - F.countDistinct(RULES[name][0])).alias("violations")).select(
+    key = RULES[name][0]
+    counted = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg((F.coalesce(F.sum("n"), F.lit(0)) - F.count("key")).alias("violations")).select(
         F.lit(name).alias("table_name"), F.lit("unique_key").alias("rule"), "violations"
     )
 
 
-def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
+def check_foreign_keys(tables: dict[str, DataFrame | Callable[[str], DataFrame]]) -> DataFrame:
     """``(child_table, child_column, parent_table, violations)`` for every foreign key.
 
     Children are counted by key before the join, so that a hot key is one row, and what is
-    shuffled is no more than the distinct keys.
+    shuffled is no more than the distinct keys. A table may be given as a function of the column
+    that a check needs, so that other columns cost nothing.
     """
+    def frame(name: str, column: str) -> DataFrame:
+        found = tables[name]
+        return found(column) if callable(found) else found
+
     results = []
     for child, column, parent, key in FOREIGN_KEYS:
         counted = (
-            tables[child]
+            frame(child, column)
             .where(F.col(column).isNotNull())
             .groupBy(F.col(column).alias("fk"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        parents = tables[parent].select(F.col(key).alias("fk"))
-        if fits_broadcast(parents):
-            parents = F.broadcast(parents)
+        parents = frame(parent, key).select(F.col(key).alias("fk"))
         results.append(
             counted.join(parents, "fk", "left_anti")
             .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))

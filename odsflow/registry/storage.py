@@ -404,7 +404,13 @@ def _tables(t):
 
 @add("dq_rules", _rules_sql())
 def _(t):
-    return quality.check_rules(_tables(t))
+    keys = {
+        "dim_users": t.users("user_id"),
+        "fact_inventory_items": t.inventory_items("id"),
+        "fact_orders": t.orders("order_id"),
+        "fact_order_items": t.order_items("id"),
+    }
+    return quality.check_rules(_tables(t), keys)
 
 
 @add(
@@ -423,9 +429,9 @@ def _(t):
             "dim_products": t.products(),
             "dim_distribution_centers": t.centres(),
             "dim_users": t.users("user_id"),
-            "fact_inventory_items": t.inventory_items("id", "product_id", "product_distribution_center_id"),
-            "fact_orders": t.orders("order_id", "user_id"),
-            "fact_order_items": t.order_items("order_id", "user_id", "product_id", "inventory_item_id"),
+            "fact_inventory_items": t.inventory_items,
+            "fact_orders": t.orders,
+            "fact_order_items": t.order_items,
             "dwd_clickstream_events": t.events(),
         }
     )

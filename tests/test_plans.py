@@ -248,3 +248,32 @@ def test_hot_join_key_is_split(spark, no_broadcast, hot_key):
         for name, value in before.items():
             spark.conf.set(name, value)
 
+
+
+def test_charts_on_stored_marts_read_their_range_only(spark, tables, tmp_path):
+    within = dashboards.Range("2024-01-05", "2024-01-08")
+    whole = clickstream.sessions(tables.events(), tables.products())
+    whole.write.partitionBy("session_date").parquet(f"{tmp_path}/sessions")
+    mart = spark.read.parquet(f"{tmp_path}/sessions")
+    pairs = [
+        (dashboards.session_figures(None, within, mart), dashboards.session_figures(tables.events(), within)),
+        (dashboards.sessions_by(None, within, "browser", 20, mart), dashboards.sessions_by(tables.events(), within, "browser", 20)),
+        (
+            dashboards.funnel_by_category(None, None, within, mart),
+            dashboards.funnel_by_category(tables.events(), tables.products(), within),
+        ),
+    ]
+    for stored, computed in pairs:
+        assert "session_date" in plan(stored).split("PartitionFilters: ")[1].split("]")[0]
+        assert rows(stored) == rows(computed)
+
+
+def test_raw_events_are_not_sorted(spark, tables):
+    text = plan(clickstream.session_base(tables.events()))
+    below = text[text.rindex("Exchange") :]
+    assert "SortAggregate" not in below and "HashAggregate" in below
+
+
+def test_keys_are_checked_without_joins(spark, tables):
+    found = quality._key_rule("fact_order_items", tables.order_items("id"))
+    assert "Join" not in plan(found) and "Expand" not in plan(found)
