@@ -105,7 +105,7 @@ TABLES = {
                window_start, window_start + to_seconds(300) AS window_end, event_date, traffic_source, browser, event_type,
                page_type, sum(n)::BIGINT AS total_events, count(DISTINCT session_id) AS unique_sessions,
                count(DISTINCT user_id) AS unique_users,
-               CASE WHEN event_type = 'purchase' THEN sum(n)::BIGINT ELSE 0 END AS purchase_events,
+               sum(CASE WHEN event_type = 'purchase' THEN n ELSE 0 END)::BIGINT AS purchase_events,
                sum(lag)::DOUBLE / sum(lags) AS avg_event_lag_seconds
         FROM (SELECT event_timestamp - to_microseconds(epoch_us(event_timestamp) % 300000000) AS window_start, event_date,
                      traffic_source, browser, event_type, page_type, session_id, user_id, count(event_id) AS n,
