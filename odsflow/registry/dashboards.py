@@ -235,6 +235,18 @@ def _(t):
     return trips.trip_figures(t.trips())
 
 
+@add(
+    "trip_kpis_chosen",
+    """SELECT COUNT(trip_id) AS trips, COUNT(DISTINCT route_no) AS active_routes,
+              COUNT(DISTINCT vehicle) AS active_vehicles, CAST(SUM(total_distance_km) AS DOUBLE) AS total_km,
+              SUM(trip_duration_minutes) / COUNT(trip_duration_minutes) AS avg_minutes
+       FROM trip_summary
+       WHERE route_no IN ('3', '7', '11') AND date >= DATE '1996-01-01' AND date < DATE '1998-07-01'""",
+)
+def _(t):
+    return trips.trip_figures(trips.choose(t.trips(), ["3", "7", "11"], "1996-01-01", "1998-07-01"))
+
+
 @add("gps_avg_speed", "SELECT CAST(SUM(speed) AS DOUBLE) / COUNT(speed) AS avg_speed FROM gps_points WHERE speed > 0")
 def _(t):
     return trips.average_speed(t.gps_points())

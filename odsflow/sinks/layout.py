@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odsflow.operators.joins import scan_bytes
 from odsflow.sinks.paths import numbered_dates, remove
 
 BLOOM_COLUMNS = ("session_id", "user_id")
@@ -48,7 +49,7 @@ def drop_expired_days(spark: SparkSession, path: str, today: dt.date, keep_days:
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     """Keys that hold more than ``share`` of all rows. There are at most ``1 / share``."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n")).scalar()
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counted.where(F.col("n") > F.lit(share) * total).select(key)
 
 
@@ -59,21 +60,36 @@ class ColocatedPair:
     heavy. Rows of such keys, and rows without a key, are kept in a table without buckets
     instead, and joined to their few parent rows by broadcast.
 
-    ``buckets`` is to be sized to the data: a bucket is read by one task.
+    A bucket is read by one task, so without ``buckets`` their number follows from the size of the
+    child's files, ``bucket_bytes`` for each.
     """
 
-    def __init__(self, spark: SparkSession, name: str, path: str, key: str, buckets: int = 10):
-        self.spark, self.name, self.path, self.key, self.buckets = spark, name, path, key, buckets
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        path: str,
+        key: str,
+        buckets: int | None = None,
+        bucket_bytes: int = 128 << 20,
+    ):
+        self.spark, self.name, self.path, self.key = spark, name, path, key
+        self.buckets, self.bucket_bytes = buckets, bucket_bytes
 
     def write(self, child: DataFrame, parent: DataFrame, share: float = 0.01) -> None:
+        # The child may be a plan of its own; it is computed once.
+        child.write.mode("overwrite").parquet(f"{self.path}/staged")
+        child = self.spark.read.parquet(f"{self.path}/staged")
+        buckets = self.buckets or -(-(scan_bytes(child) or 0) // self.bucket_bytes) or 1
         hot_path = f"{self.path}/hot_keys"
         hot_keys(child, self.key, share).coalesce(1).write.mode("overwrite").parquet(hot_path)
         hot = F.broadcast(self.spark.read.parquet(hot_path))
         has_key = F.col(self.key).isNotNull()
         apart = child.where(has_key).join(hot, self.key, "left_semi").unionByName(child.where(~has_key))
         apart.write.mode("overwrite").parquet(f"{self.path}/child_hot")
-        self._write_bucketed(child.where(has_key).join(hot, self.key, "left_anti"), "child")
-        self._write_bucketed(parent, "parent")
+        self._write_bucketed(child.where(has_key).join(hot, self.key, "left_anti"), "child", buckets)
+        self._write_bucketed(parent, "parent", buckets)
+        remove(self.spark, f"{self.path}/staged")
 
     def join(self, how: str = "left") -> DataFrame:
         """Child rows with their parent (``left`` or ``inner``)."""
@@ -93,13 +109,13 @@ class ColocatedPair:
         for part in ("child", "parent"):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{part}")
 
-    def _write_bucketed(self, df: DataFrame, part: str) -> None:
+    def _write_bucketed(self, df: DataFrame, part: str, buckets: int) -> None:
         # One task per bucket, so that a bucket is one file per write and not one per task.
         (
-            df.repartition(self.buckets, self.key)
+            df.repartition(buckets, self.key)
             .write.mode("overwrite")
             .option("path", f"{self.path}/{part}")
-            .bucketBy(self.buckets, self.key)
+            .bucketBy(buckets, self.key)
             .sortBy(self.key)
             .saveAsTable(f"{self.name}_{part}")
         )
