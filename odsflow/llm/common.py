@@ -19,7 +19,18 @@ WORD_BYTES = bytes(
 )
 
 
+#: Rows that go to a Python worker at once. Rows are whole texts here, so Spark's 10,000 would hold
+#: tens of megabytes, several times over in the JVM and the worker of every task.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder, to be read in batches that suit texts."""
+    _small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,6 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     any executor's memory or disk.
     """
     spark = df.sparkSession
+    _small_batches(spark)
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,9 +24,9 @@ from odsflow.llm.common import slices, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of different words that are indexed at once.
-CHUNK_CHARS = 400_000
+CHUNK_CHARS = 200_000
 #: Different words that a task remembers.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 #: Longer words are relaxed one by one with a queue.
 LONG_WORD = 256
 
