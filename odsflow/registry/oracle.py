@@ -74,6 +74,10 @@ TABLES = {
                event_type = 'purchase' AS is_conversion,
                CAST(value AS DECIMAL(18,6)) AS event_lag_seconds
         FROM events""",
+    "session_events": """
+        SELECT event_id, session_id, user_id, traffic_source, browser, event_timestamp, event_type, page_type, product_id,
+               product_category
+        FROM click_events LEFT JOIN (SELECT product_id, category AS product_category FROM dim_products) USING (product_id)""",
     "session_base": """
         SELECT session_id, user_id, traffic_source, browser, first AS session_start, last AS session_end,
                (epoch_us(last) - epoch_us(first)) // 1000000 AS session_duration_seconds,
