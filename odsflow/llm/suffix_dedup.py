@@ -22,7 +22,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -389,10 +388,17 @@ def _numbered(docs: DataFrame) -> DataFrame:
     rid = F.expr("xxhash64(_metadata.file_path) div 2 + _metadata.row_index").alias("rid")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(None).alias("_")]).alias("row")
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("whole")
-    try:
-        return docs.select(rid, row, whole)
-    except AnalysisException:
-        return _numbered(written(docs, "suffix-rows"))
+    if not _one_row_per_file_row(docs._jdf.queryExecution().analyzed()):
+        docs = written(docs, "suffix-rows")
+    return docs.select(rid, row, whole)
+
+
+def _one_row_per_file_row(plan) -> bool:
+    """Whether a plan only filters and computes columns of rows of files."""
+    if plan.nodeName() not in ("Project", "Filter", "LogicalRelation"):
+        return False
+    children = plan.children()
+    return all(_one_row_per_file_row(children.apply(i)) for i in range(children.size()))
 
 
 @dataclass(frozen=True)

@@ -70,3 +70,10 @@ def test_odd_rows(spark, odd, none):
     by = {r.doc_id: r for r in clean}
     assert by[4].text == "word" and by[1].text == "" and by[6].text == "" and by[5].n_chars == len(by[5].text)
     assert by[7].text == odd.where("doc_id = 7").first().text
+
+
+def test_rows_made_from_file_rows_are_told_apart(spark, tmp_path):
+    spark.createDataFrame([(1, "x" * 300)], "doc_id long, text string").write.parquet(f"{tmp_path}/one")
+    docs = spark.read.parquet(f"{tmp_path}/one")
+    assert docs.count() == 1 and S._one_row_per_file_row(docs.where("doc_id > 0").select("text")._jdf.queryExecution().analyzed())
+    assert len({r.rid for r in S._numbered(docs.selectExpr("text", "explode(array(1, 2)) AS copy")).collect()}) == 2
