@@ -22,8 +22,9 @@ _NOW = "(SELECT MAX(event_timestamp) FROM click_events)"
         SELECT count(*) AS started, count(*) FILTER (saw_product) AS saw, count(*) FILTER (added_to_cart) AS added,
                count(*) FILTER (purchased) AS bought
         FROM session_summary WHERE session_start >= {_NOW} - to_hours(1))
-    SELECT started AS total_sessions, saw AS viewed_product_sessions, added AS add_to_cart_sessions,
-           bought AS purchase_sessions,
+    SELECT started AS total_sessions, CASE WHEN started > 0 THEN saw END AS viewed_product_sessions,
+           CASE WHEN started > 0 THEN added END AS add_to_cart_sessions,
+           CASE WHEN started > 0 THEN bought END AS purchase_sessions,
            CASE WHEN started > 0 THEN saw::DOUBLE / started * 100 END AS view_rate_pct,
            CASE WHEN saw > 0 THEN added::DOUBLE / saw * 100 END AS cart_add_rate_pct,
            CASE WHEN added > 0 THEN bought::DOUBLE / added * 100 END AS purchase_rate_pct
