@@ -312,9 +312,6 @@ def _extract(frame: DataFrame, text: bool) -> DataFrame:
 def _resolve(rows: DataFrame, level: int) -> DataFrame:
     """Rows (s1, s2, first, last): ranges of repeated windows of every different stretch in ``rows``
     (anchor, s1, s2, places, part), which may hold a stretch several times."""
-    if level == len(GRAMS) - 1:  # the gram is the whole window
-        twice = rows.groupBy("s1", "s2").agg(F.sum("places").alias("places")).where("places > 1")
-        return twice.select("s1", "s2", F.lit(0).cast("long").alias("first"), F.lit(1).cast("long").alias("last"))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         together, held = [], 0
@@ -351,7 +348,8 @@ def _resolve(rows: DataFrame, level: int) -> DataFrame:
             if not len(owner):
                 continue
             parts = [whole[o][s : s + w + WINDOW - 1] for o, s, w in zip(owner.tolist(), start.tolist(), windows.tolist())]
-            names = _names(parts)
+            # With the whole window as gram, all windows of a stretch are equal: one of them names it.
+            names = _names([part[:WINDOW] for part in parts] if gram == WINDOW else parts)
             take = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -371,9 +369,16 @@ def _resolve(rows: DataFrame, level: int) -> DataFrame:
     schema = "p1 long, p2 long, places long, start long, times long, anchor long, s1 long, s2 long, part binary"
     parents = rows.join(crowded, "anchor", "left_semi")
     finer = written(parents.drop("anchor").mapInArrow(again, schema), "finer")
-    twice = finer.groupBy("anchor").agg(F.sum(F.col("places") * F.col("times")).alias("n")).where("n > 1").select("anchor")
-    inner = _resolve(finer.join(twice, "anchor", "left_semi").select("anchor", "s1", "s2", "places", "part"), level + 1)
-    inner = finer.select("p1", "p2", "start", "s1", "s2").distinct().join(inner, ["s1", "s2"])
+    if gram == WINDOW:
+        windows = F.octet_length("part").cast("long") - (WINDOW - 1)
+        finer = finer.select("p1", "p2", "places", "start", "s1", "s2", windows.alias("windows"))
+        twice = finer.groupBy("s1", "s2").agg(F.sum(F.col("places") * F.col("windows")).alias("n")).where("n > 1")
+        inner = finer.join(twice.select("s1", "s2"), ["s1", "s2"], "left_semi")
+        inner = inner.select("p1", "p2", "start", F.lit(0).alias("first"), F.col("windows").alias("last")).distinct()
+    else:
+        twice = finer.groupBy("anchor").agg(F.sum(F.col("places") * F.col("times")).alias("n")).where("n > 1").select("anchor")
+        inner = _resolve(finer.join(twice, "anchor", "left_semi").select("anchor", "s1", "s2", "places", "part"), level + 1)
+        inner = finer.select("p1", "p2", "start", "s1", "s2").distinct().join(inner, ["s1", "s2"])
     return found.union(
         inner.select(
             F.col("p1").alias("s1"), F.col("p2").alias("s2"), (F.col("start") + F.col("first")).alias("first"),

@@ -63,6 +63,22 @@ def test_planted_cases(spark, tmp_path):
     assert clean.count() == len(texts) and clean.columns == ["doc_id", "text", "rid", "spans", "n_bytes"]
 
 
+@pytest.mark.parametrize("crowd", [20_000, 1])
+def test_runs_of_one_byte(spark, tmp_path, monkeypatch, crowd):
+    monkeypatch.setattr(S, "CROWD", crowd)
+    rng = random.Random(6)
+    fresh = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    texts = [
+        "q" * 201, "z" * 200, fresh(250) + "r" * 330 + fresh(250), "-" * 200 + fresh(220), fresh(210) + "-" * 230,
+        "=" * 260, "=" * 260, fresh(90) + "=" * 700 + fresh(60), " " * 1500, "\n" * 300 + fresh(40) + "\n" * 455,
+    ]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = S.op4_suffix_array(spark, str(tmp_path)).collect()
+    got = [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sorted(found)]
+    assert got == covered([t.encode() for t in texts])
+
+
 def test_odd_rows(spark, odd, none):
     assert S.without_repeats(none).collect() == []
     clean = S.without_repeats(odd).collect()
