@@ -300,7 +300,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     added = _ADDED.fieldNames()
     tests = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    ).distinct()  # repeated rows would all fall into one block
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = size // BLOCK_BYTES + 1
     keep = [c for c in (keep or docs.columns) if c not in added]

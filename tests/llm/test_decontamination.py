@@ -83,3 +83,14 @@ def test_blocks_of_tests_and_odd_rows(spark, odd, none, monkeypatch):
     assert clean.count() == 10
     kept = {r.doc_id: r.text for r in clean.collect()}
     assert kept[8] == " eleven twelve" and kept[1] is None and kept[4] == "word"
+
+
+def test_repeated_tests_do_not_fill_a_block(spark, monkeypatch):
+    bench = spark.createDataFrame([(1, "one two three four")] * 50 + [(2, "two three")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "zero one two three four five")], "doc_id long, text string")
+    monkeypatch.setattr(D, "BLOCK_BYTES", 40)
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or send(self, value))
+    found = D.decontaminate(docs, bench).collect()
+    assert [(r.dc_hit, r.dc_items) for r in found] == [(4, ["1", "2"])]
+    assert [len(block) for block in sent] == [2]
