@@ -226,11 +226,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> Field:
             figures, owner, _ = line_figures(data)
             lengths = np.bincount(owner, minlength=len(data))
             cut = np.split(figures, np.cumsum(lengths)[:-1])
-            # A very long document gives its first lines to the fit, which has a bounded sample.
-            lines = [x[: 8 * FIT_LINES].astype(np.float32).tobytes() for x in cut]
+            lines = [x.astype(np.float32).tobytes() for x in cut]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "lines": lines})
 
-    rows = sample.mapInPandas(run, schema).toPandas().sort_values(["doc_id", "lines"]).drop_duplicates("doc_id")
+    # Repeats of a document are dropped before anything reaches the driver.
+    rows = sample.mapInPandas(run, schema).groupBy("doc_id", "quality").agg(F.min("lines").alias("lines"))
+    rows = rows.toPandas().sort_values("doc_id")
     width = 3 * OWN
     if rows.empty:
         return Field(np.zeros(width), np.ones(width), np.zeros(width + 1), np.zeros((2, 2)))

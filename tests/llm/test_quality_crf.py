@@ -57,3 +57,16 @@ def test_odd_rows(spark, odd, none):
     flat = Q.train(none, labels)
     assert not flat.weights.any()
     assert Q.good_only(odd, labels.limit(0)).columns == odd.columns
+
+
+def test_training_takes_whole_documents_once(spark, monkeypatch):
+    page = "\n".join([f"a clean line number {i}." for i in range(300)] + ["x | y | z"] * 100)
+    docs = spark.createDataFrame([(1, page)] * 20 + [(2, "one line.")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int").where(~Q.held_out(F.col("doc_id")))
+    assert labels.count() == 2
+    collected, fitted, collect = [], [], type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda self: collected.append(collect(self)) or collected[-1].copy())
+    monkeypatch.setattr(Q, "fit", lambda figures, owner, label: fitted.append(np.bincount(owner).tolist()))
+    Q.train(docs, labels)
+    assert [len(rows) for rows in collected] == [2]
+    assert fitted == [[400, 1]]
