@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from odsflow.llm import decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup, token_counts, tool_calls
+from odsflow.llm import clustering, decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup, token_counts, tool_calls
 
 QUERIES = {
     "op1_tool_calls": tool_calls.op1_tool_calls,
     "op10_fm_index": decontamination.op10_fm_index,
+    "op12_subvector_dictionaries": clustering.op12_subvector_dictionaries,
     "op2_license_templates": license_templates.op2_license_templates,
     "op3_line_crf": quality_crf.op3_line_crf,
     "op4_suffix_array": suffix_dedup.op4_suffix_array,
@@ -19,6 +20,7 @@ QUERIES = {
 
 SQL = {
     "op10_fm_index": decontamination.SQL,
+    "op12_subvector_dictionaries": clustering.SQL,
     "op2_license_templates": license_templates.SQL,
     "op6_adaptive_thresholds": quality_rules.SQL,
     "op9_stratified_interleave": sharding.SQL,
