@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from odsflow.llm import clustering, decontamination, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup, token_counts, tool_calls
+from odsflow.llm import clustering, decontamination, exact_search, license_templates, near_duplicates, quality_crf, quality_rules, sentencepieces, sharding, suffix_dedup, token_counts, tool_calls
 
 QUERIES = {
     "op1_tool_calls": tool_calls.op1_tool_calls,
     "op10_fm_index": decontamination.op10_fm_index,
+    "op11_norm_buckets": exact_search.op11_norm_buckets,
     "op12_subvector_dictionaries": clustering.op12_subvector_dictionaries,
     "op2_license_templates": license_templates.op2_license_templates,
     "op3_line_crf": quality_crf.op3_line_crf,
@@ -20,6 +21,7 @@ QUERIES = {
 
 SQL = {
     "op10_fm_index": decontamination.SQL,
+    "op11_norm_buckets": exact_search.SQL,
     "op12_subvector_dictionaries": clustering.SQL,
     "op2_license_templates": license_templates.SQL,
     "op6_adaptive_thresholds": quality_rules.SQL,
