@@ -38,11 +38,15 @@ MODEL_B = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Places where texts may be cut: a space after no white space, and before anything.
 CUT = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
-#: Characters of a long text that are split at once, of units that are encoded at once and of units
+#: Characters of a long text that are split at once, of strings that are encoded at once and of units
 #: that a task remembers.
 BLOCK_CHARS = 1_000_000
-ENCODE_CHARS = 200_000
-KNOWN_CHARS = 4_000_000
+ENCODE_CHARS = 100_000
+KNOWN_CHARS = 6_000_000
+#: Characters of a string of units that is encoded as one.
+STRING_CHARS = 2_000
+#: Links of a group from which equal pairs are put together at once.
+LARGE_GROUP = 65_536
 #: A batch ends when it has that many pairs (of all its documents together) or documents.
 BATCH_PAIRS = 1_000_000
 BATCH_DOCS = 20_000
@@ -58,7 +62,39 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
-Group = tuple[list[int], list[int], int]  # ids of A, ids of B, bytes
+class Aligned:
+    """Groups of some strings that were encoded together, as arrays over all their tokens.
+
+    ``cuts`` are the byte ends of groups, ``a`` and ``b`` the ids, ``group_a`` and ``group_b`` the group of each token.
+    """
+
+    def __init__(self, cuts, a, b, group_a, group_b):
+        self.cuts, self.a, self.b, self.group_a, self.group_b = cuts, a, b, group_a, group_b
+        self.n_a, self.n_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        self.start_a, self.start_b = np.cumsum(self.n_a) - self.n_a, np.cumsum(self.n_b) - self.n_b
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Group, pair of ids (A's in the upper half) and times of all links. Within a very large group, equal
+        pairs are put together."""
+        links = self.n_a * self.n_b
+        large = np.flatnonzero(links > LARGE_GROUP)
+        plain = links.copy()
+        plain[large] = 0
+        group = np.repeat(np.arange(len(links)), plain)
+        inside = np.arange(len(group)) - np.repeat(np.cumsum(plain) - plain, plain)
+        of_a = self.a[self.start_a[group] + inside // np.maximum(self.n_b[group], 1)]
+        of_b = self.b[self.start_b[group] + inside % np.maximum(self.n_b[group], 1)]
+        found = [(group, of_a << 32 | of_b, np.ones(len(group), np.int64))]
+        for g in large.tolist():
+            ids_a, often_a = np.unique(self.a[self.start_a[g] :][: self.n_a[g]], return_counts=True)
+            ids_b, often_b = np.unique(self.b[self.start_b[g] :][: self.n_b[g]], return_counts=True)
+            pairs = (ids_a[:, None] << 32 | ids_b[None, :]).ravel()
+            found.append((np.full(len(pairs), g), pairs, (often_a[:, None] * often_b[None, :]).ravel()))
+        group, pairs, times = (np.concatenate(x) for x in zip(*found))
+        if len(large):
+            order = np.argsort(group, kind="stable")
+            group, pairs, times = group[order], pairs[order], times[order]
+        return group, pairs, times
 
 
 class Aligner:
@@ -73,70 +109,90 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=model_b)
         alphabet = _byte_alphabet()
-        self.bytes_a = {i: bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        names = {i: t for t, i in self.a.get_vocab().items()}
+        decoded = lambda t: bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode()
+        self.bytes_a = [decoded(names.get(i, "")) for i in range(max(names) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         is_byte = [self.b.is_byte(i) for i in range(len(pieces))]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if x else p.replace(_MARK, " ").encode() for p, x in zip(pieces, is_byte)]
+        self.size_a, self.size_b = np.array(list(map(len, self.bytes_a))), np.array(list(map(len, self.bytes_b)))
+        #: Ids as text with what follows them: more of the group, the other side, the next group.
+        written = lambda n, end: np.array([f"{i}{end}" for i in range(n)], object)
+        self.more_a, self.last_a = written(len(self.bytes_a), ","), written(len(self.bytes_a), "|")
+        self.more_b, self.last_b = written(len(pieces), ","), written(len(pieces), ";")
         #: Whether no piece crosses a place of CUT.
         self.cuts = not any(_MARK in p.lstrip(_MARK) for p in pieces)
 
-    def encode(self, texts: list[str]) -> Iterator[list[Group] | None]:
-        """Groups of space+text for each text; None where a tokenizer's bytes are not those of the text."""
+    def align(self, texts: list[str]) -> tuple[list[int], np.ndarray, Aligned | None]:
+        """Aligns space+text of those texts (given by place) whose bytes both tokenizers keep, one after
+        the other; ends of these texts in the bytes; their groups."""
         encoded = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
         protos = self.b.encode(texts, return_type="proto", num_threads=1)
-        for text, a, b in zip(texts, encoded, protos):
-            yield self._groups(" " + text, a, b.pieces) if text else None
-
-    def _groups(self, text: str, encoded, pieces) -> list[Group] | None:
-        ids_a, ids_b = encoded.ids, [p.id for p in pieces]
-        data = text.encode()
-        if b"".join([self.bytes_a[i] for i in ids_a]) != data or b"".join([self.bytes_b[i] for i in ids_b]) != data:
-            return None
-        lengths_a, lengths_b = [len(self.bytes_a[i]) for i in ids_a], [len(self.bytes_b[i]) for i in ids_b]
-        # Coarse: ends by the libraries' own spans, as bytes of ``text``, with the number of tokens before.
-        coarse_a, offsets = {}, encoded.offsets
-        places = range(len(text) + 1) if len(data) == len(text) else np.cumsum([0, *[len(c.encode()) for c in text]]).tolist()
-        for n, (_, end) in enumerate(offsets, 1):
-            if n == len(offsets) or offsets[n][0] >= end:
-                coarse_a[places[end]] = n
-        spans = [(p.begin + 1, p.end + 1) for p in pieces]
-        found, at, done_a, done_b = [], 0, 0, 0
-        for n, (begin, end) in enumerate(spans, 1):
-            if end > at and (n == len(spans) or spans[n][0] >= end) and (m := coarse_a.get(end)):
-                part_a, part_b = lengths_a[done_a:m], lengths_b[done_b:n]
-                if sum(part_a) == sum(part_b) == end - at:  # else the spans do not tell, and the bytes decide further on
-                    found += _refined(ids_a[done_a:m], part_a, ids_b[done_b:n], part_b)
-                    at, done_a, done_b = end, m, n
-        if done_a < len(ids_a) or done_b < len(ids_b):
-            found += _refined(ids_a[done_a:], lengths_a[done_a:], ids_b[done_b:], lengths_b[done_b:])
-        return found
+        kept, ids_a, ids_b, base, size = [], [], [], [], 0
+        coarse_a, coarse_b = [], []
+        for place, (text, a, b) in enumerate(zip(texts, encoded, protos)):
+            data = (" " + text).encode()
+            own_a, pieces = a.ids, b.pieces
+            own_b = [p.id for p in pieces]
+            if not text or b"".join([self.bytes_a[i] for i in own_a]) != data or b"".join([self.bytes_b[i] for i in own_b]) != data:
+                continue
+            # Ends that the libraries name, where no later token reaches back over them.
+            offsets = np.array(a.offsets)
+            ends = offsets[np.append(offsets[1:, 0] >= offsets[:-1, 1], True), 1]
+            if len(data) != len(text) + 1:
+                ends = _byte_places(" " + text)[ends]
+            spans = np.array([(p.begin, p.end) for p in pieces]) + 1
+            coarse_a.append(ends + size)
+            coarse_b.append(spans[np.append(spans[1:, 0] >= spans[:-1, 1], True), 1] + size)
+            kept.append(place)
+            ids_a += own_a
+            ids_b += own_b
+            size += len(data)
+            base.append(size)
+        if not kept:
+            return kept, np.empty(0, np.int64), None
+        a, b = np.array(ids_a), np.array(ids_b)
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        cuts = np.intersect1d(np.concatenate(coarse_a), np.concatenate(coarse_b))
+        # Coarse cuts are ends of decoded tokens; what lies between two of them is refined where both sides have
+        # several tokens.
+        cuts = cuts[np.isin(cuts, ends_a) & np.isin(cuts, ends_b)]
+        in_a, in_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        open_ = (np.bincount(in_a, minlength=len(cuts) + 1) > 1) & (np.bincount(in_b, minlength=len(cuts) + 1) > 1)
+        cuts = np.union1d(cuts, np.intersect1d(ends_a[open_[in_a]], ends_b[open_[in_b]]))
+        return kept, np.array(base), Aligned(cuts, a, b, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b))
 
     def groups(self, text: str | None) -> list[tuple[int, int, list[int], list[int]]]:
         """Groups (start, end, ids of A, ids of B) of the bytes of space+text; empty where it has no tokens."""
-        found = next(self.encode([text])) if text else None
-        out, at = [], 0
-        for a, b, size in found or []:
-            out.append((at, at + size, a, b))
-            at += size
-        return out
-
-
-def _refined(ids_a: list[int], lengths_a: list[int], ids_b: list[int], lengths_b: list[int]) -> list[Group]:
-    """Cuts a stretch wherever the decoded bytes of both end together."""
-    if len(ids_a) == 1 or len(ids_b) == 1:
-        return [(ids_a, ids_b, sum(lengths_a))]
-    found, a, b, start_a, start_b, end_a, end_b, start = [], 0, 0, 0, 0, 0, 0, 0
-    while a < len(ids_a) or b < len(ids_b):
-        if end_a <= end_b:
-            end_a += lengths_a[a]
-            a += 1
-        else:
-            end_b += lengths_b[b]
-            b += 1
-        if end_a == end_b:
-            found.append((ids_a[start_a:a], ids_b[start_b:b], end_a - start))
-            start_a, start_b, start = a, b, end_a
-    return found
+        found = self.align([text])[2] if text else None
+        if found is None:
+            return []
+        starts = [0, *found.cuts[:-1].tolist()]
+        sides = [np.split(ids, np.cumsum(n)[:-1]) for ids, n in ((found.a, found.n_a), (found.b, found.n_b))]
+        return [(start, end, a.tolist(), b.tolist()) for start, end, a, b in zip(starts, found.cuts.tolist(), *sides)]
+
+
+def _byte_places(text: str) -> np.ndarray:
+    """Byte at which each character begins, and where the last one ends."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    sizes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+class _Growing:
+    """Rows that are added again and again, in one array."""
+
+    def __init__(self, width: int | None = None):
+        self.rows = np.empty(1024 if width is None else (1024, width), np.int64)
+        self.size = 0
+
+    def add(self, rows: np.ndarray) -> None:
+        if self.size + len(rows) > len(self.rows):
+            more = np.empty((max(len(self.rows) * 2, self.size + len(rows)), *self.rows.shape[1:]), np.int64)
+            more[: self.size] = self.rows[: self.size]
+            self.rows = more
+        self.rows[self.size : self.size + len(rows)] = rows
+        self.size += len(rows)
 
 
 class Units:
@@ -149,40 +205,79 @@ class Units:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.text: dict[str, str | None] = {}
-        self.figures: list[tuple[int, int, int, int]] = []
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
+        self.figures = _Growing(6)  # those of a document, then where the pairs start and how many there are
+        self.pairs, self.times = _Growing(), _Growing()
         self.chars = 0
 
     def learn(self, units: list[str]) -> None:
-        start = 0
-        while start < len(units):
+        """Units go to the tokenizers in strings of many, as they are cut where nothing is joined."""
+        strings, alone, held, chars = [], [], [], 0
+        for unit in units:
+            if not self.aligner.cuts or _MARK in unit or unit[-1:].isspace() or len(unit) > STRING_CHARS:
+                alone.append([unit])
+                continue
+            held.append(unit)
+            chars += len(unit) + 1
+            if chars > STRING_CHARS:
+                strings.append(held)
+                held, chars = [], 0
+        strings += [held] if held else []
+        again = self._learn(strings + alone)
+        again = self._learn([[unit] for string in again for unit in string if len(string) > 1])
+        assert not again
+
+    def _learn(self, strings: list[list[str]]) -> list[list[str]]:
+        """Those strings that have to be taken unit by unit."""
+        again, start = [], 0
+        while start < len(strings):
             end, chars = start, 0
-            while end < len(units) and (end == start or chars + len(units[end]) <= ENCODE_CHARS):
-                chars += len(units[end])
+            while end < len(strings) and (end == start or chars < ENCODE_CHARS):
+                chars += sum(map(len, strings[end]))
                 end += 1
-            for unit, groups in zip(units[start:end], self.aligner.encode(units[start:end])):
-                self._add(unit, groups)
+            part = strings[start:end]
+            kept, ends, found = self.aligner.align([" ".join(s) for s in part])
+            chosen = set(kept)
+            for place, string in enumerate(part):
+                if place not in chosen and len(string) > 1:
+                    again.append(string)
+                elif place not in chosen:
+                    self._note([string[0]], [None], np.zeros((1, 4), np.int64), np.zeros(1, np.int64))
+            if found is not None:
+                again += self._add([part[k] for k in kept], ends, found)
             start = end
-
-    def _add(self, unit: str, groups: list[Group] | None) -> None:
-        linked: collections.Counter = collections.Counter()
-        links = 0
-        for a, b, _ in groups or []:
-            links += len(a) * len(b)
-            if len(a) == 1 and len(b) == 1:
-                linked[a[0] << 32 | b[0]] += 1
-            else:
-                counts_b = collections.Counter(b).items()
-                for i, n in collections.Counter(a).items():
-                    for j, m in counts_b:
-                        linked[i << 32 | j] += n * m
-        self.number[unit] = len(self.figures)
-        self.text[unit] = None if groups is None else ";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b, _ in groups])
-        self.figures.append((sum([len(a) for a, _, _ in groups or []]), sum([len(b) for _, b, _ in groups or []]), len(groups or []), links))
-        self.pairs.append(np.fromiter(linked.keys(), np.int64, len(linked)))
-        self.times.append(np.fromiter(linked.values(), np.int64, len(linked)))
-        self.chars += len(unit)
+        return again
+
+    def _add(self, strings: list[list[str]], ends: np.ndarray, found: Aligned) -> list[list[str]]:
+        units = [unit for string in strings for unit in string]
+        unit_ends = np.cumsum([len(unit.encode()) + 1 for unit in units])
+        if not np.isin(unit_ends, found.cuts).all():  # something is joined across units after all
+            if all(len(string) == 1 for string in strings):
+                raise ValueError("the bytes of a text and of its tokens differ")
+            return strings
+        unit = np.searchsorted(unit_ends, found.cuts)
+        figures = np.zeros((len(units), 4), np.int64)
+        for column, values in enumerate((found.n_a, found.n_b, np.ones(len(unit), np.int64), found.n_a * found.n_b)):
+            figures[:, column] = np.bincount(unit, values, len(units))
+        group, pairs, times = found.links()
+        al, last = self.aligner, lambda g: np.append(g[1:] != g[:-1], True)
+        texts_a = np.where(last(found.group_a), al.last_a[found.a], al.more_a[found.a])
+        texts_b = np.where(last(found.group_b), al.last_b[found.b], al.more_b[found.b])
+        order = np.argsort(np.concatenate([found.group_a * 2, found.group_b * 2 + 1]), kind="stable")
+        texts = np.concatenate([texts_a, texts_b])[order].tolist()
+        bounds = [0, *np.cumsum(figures[:, 0] + figures[:, 1]).tolist()]
+        joined = ["".join(texts[s:e])[:-1] for s, e in zip(bounds, bounds[1:])]
+        self.pairs.add(pairs)
+        self.times.add(times)
+        self._note(units, joined, figures, np.bincount(unit[group], minlength=len(units)))
+        return []
+
+    def _note(self, units: list[str], texts: list[str | None], figures: np.ndarray, n_pairs: np.ndarray) -> None:
+        first = self.pairs.size - int(n_pairs.sum())
+        starts = first + np.cumsum(n_pairs) - n_pairs
+        self.number.update(zip(units, range(self.figures.size, self.figures.size + len(units))))
+        self.text.update(zip(units, texts))
+        self.figures.add(np.column_stack([figures, starts, n_pairs]))
+        self.chars += sum(map(len, units))
 
 
 def _blocks(text: str) -> Iterator[list[str]]:
@@ -227,11 +322,13 @@ def _document(text: str | None, known: Units):
             return _NOTHING
         digest.update((";" * more + ";".join(texts)).encode())
         more = True
-        rows = [known.number[u] for u in counts]
-        often = list(counts.values())
-        figures = figures + np.array(often) @ np.array([known.figures[r] for r in rows], np.int64)
-        pairs.append(np.concatenate([known.pairs[r] for r in rows]))
-        times.append(np.concatenate([known.times[r] * n for r, n in zip(rows, often)]))
+        rows = known.figures.rows[np.fromiter(map(known.number.__getitem__, counts), np.int64, len(counts))]
+        often = np.fromiter(counts.values(), np.int64, len(counts))
+        figures = figures + often @ rows[:, :4]
+        starts, n_pairs = rows[:, 4], rows[:, 5]
+        at = np.arange(n_pairs.sum()) + np.repeat(starts - np.cumsum(n_pairs) + n_pairs, n_pairs)
+        pairs.append(known.pairs.rows[at])
+        times.append(known.times.rows[at] * np.repeat(often, n_pairs))
         if len(pairs) > 8:
             one = _summed(pairs, times)
             pairs, times = [one[0]], [one[1]]
@@ -239,12 +336,13 @@ def _document(text: str | None, known: Units):
 
 
 def _whole(text: str, aligner: Aligner):
+    """A text as a single unit."""
     alone = Units(aligner)
-    alone.learn([text])
+    alone._learn([[text]])
     if alone.text[text] is None:
         return _NOTHING
     digest = hashlib.sha256(alone.text[text].encode()).hexdigest()
-    return np.array(alone.figures[0]), digest, *_summed(alone.pairs, alone.times)
+    return alone.figures.rows[0, :4], digest, *_summed([alone.pairs.rows[: alone.pairs.size]], [alone.times.rows[: alone.times.size]])
 
 
 _FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
