@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odsflow.functions.measures import count_where, mean, percent, ratio
-from odsflow.functions.times import Moment, recent
+from odsflow.functions.times import Moment, as_moment, recent
 from odsflow.operators.joins import fits_broadcast, lookup_join
+from odsflow.plans.clickstream import events_of_sessions_since, session_base, sessions, window_number, window_summary
 from odsflow.plans.sales import sales_summary, since_newest_hours
 
 # -- recent activity ---------------------------------------------------------
@@ -28,6 +29,12 @@ def funnel(sessions: DataFrame, as_of: Moment, interval: str = "1 HOUR") -> Data
     )
 
 
+def recent_funnel(events: DataFrame, as_of: Moment, interval: str = "1 HOUR") -> DataFrame:
+    """The funnel straight from events, of which only those of the sessions in question are summed up."""
+    start = as_moment(as_of) - F.expr(f"INTERVAL {interval}")
+    return funnel(session_base(events_of_sessions_since(events, start)), as_of, interval)
+
+
 def freshness(events: DataFrame, as_of: Moment | None = None, seconds: int = 300) -> DataFrame:
     """Arrivals, rate and lag of the last five minutes."""
     lag = "event_lag_seconds"
@@ -52,15 +59,11 @@ def trending(
     )
     keys = ["product_category", "product_brand", "product_name"]
     # The moment is taken from all events, so the filter comes before the event type.
-    views = recent(events, "event_timestamp", interval, as_of, "event_date").where(F.col("event_type") == "product")
-    counted = (
-        lookup_join(views, names, "product_id", "inner")
-        .groupBy(*keys)
-        .agg(
-            F.count("event_id").alias("total_views"),
-            F.countDistinct("session_id").alias("unique_view_sessions"),
-        )
-    )
+    shown = recent(events, "event_timestamp", interval, as_of, "event_date").where(F.col("event_type") == "product")
+    # One row per product and session meets the catalogue, however often a product was shown.
+    seen = shown.groupBy("product_id", "session_id").agg(F.count("event_id").alias("views"))
+    named = lookup_join(seen, names, "product_id", "inner").groupBy(*keys)
+    counted = named.agg(F.sum("views").alias("total_views"), F.countDistinct("session_id").alias("unique_view_sessions"))
     return counted.orderBy(F.desc("total_views"), *keys).limit(top)
 
 
@@ -141,6 +144,38 @@ def read_sessions(sessions: DataFrame, top: int = 50) -> DataFrame:
     )
 
 
+def of_first_keys(events: DataFrame, keys: dict[str, Column], top: int = 50) -> DataFrame:
+    """Events of the first ``top`` combinations of ``keys``, which a summary by these keys would show first.
+
+    The combinations are found from the key columns alone; the events of others are filtered out
+    before anything is summed up. The first key also bounds the scan.
+    """
+    named = [column.alias(f"first_{name}") for name, column in keys.items()]
+    first = events.select(*named).distinct().orderBy(*[f"first_{name}" for name in keys]).limit(top)
+    name, leading = next(iter(keys.items()))
+    last = first.agg(F.max(f"first_{name}")).scalar()
+    bounded = events.where(leading.isNull() | (leading <= last))
+    same = [column.eqNullSafe(F.col(f"first_{name}")) for name, column in keys.items()]
+    condition = same[0]
+    for other in same[1:]:
+        condition = condition & other
+    return bounded.join(F.broadcast(first), condition, "left_semi")  # ``top`` rows
+
+
+def first_windows(events: DataFrame, top: int = 50) -> DataFrame:
+    """The first rows of the window summary, of which only those are computed."""
+    labels = ("traffic_source", "browser", "event_type", "page_type")
+    start = window_number(F.col("event_timestamp"))
+    # An event without a time is in no window.
+    events = events.where(F.col("event_timestamp").isNotNull())
+    return read_windows(window_summary(of_first_keys(events, {"start": start, **{n: F.col(n) for n in labels}}, top)), top)
+
+
+def first_sessions(events: DataFrame, products: DataFrame, top: int = 50) -> DataFrame:
+    """The first rows of the session summary, of which only those are computed."""
+    return read_sessions(sessions(of_first_keys(events, {"session_id": F.col("session_id")}, top), products), top)
+
+
 # -- order reports -----------------------------------------------------------
 
 
@@ -219,11 +254,31 @@ def _grouped_lookup(
 # -- ingest health -----------------------------------------------------------
 
 
-def recent_lag(events: DataFrame, newest: int = 5000) -> DataFrame:
-    """Lag of the newest events with a plausible lag."""
+def _plausible(events: DataFrame) -> DataFrame:
     lag = F.col("event_lag_seconds")
+    return events.where(lag.isNotNull() & (lag >= 0) & (lag < 3600))
+
+
+def _newest_hours(hours: DataFrame, newest: int) -> Column:
+    """Start of the last hour that is needed for ``newest`` events, from rows (hour, n)."""
+    after = Window.orderBy(F.desc("hour")).rowsBetween(Window.unboundedPreceding, -1)  # a row per hour
+    needed = hours.withColumn("newer", F.coalesce(F.sum("n").over(after), F.lit(0))).where(F.col("newer") < newest)
+    return needed.agg(F.min("hour")).scalar()
+
+
+def recent_lag(events: DataFrame, newest: int = 5000) -> DataFrame:
+    """Lag of the newest events with a plausible lag.
+
+    How many hours hold them is found from two columns; only the events of these hours are sorted.
+    """
+    valid = _plausible(events)
+    hour = F.date_trunc("hour", F.col("event_timestamp").cast("timestamp")).cast("timestamp_ntz").alias("hour")
+    hours = valid.where(F.col("event_timestamp").isNotNull()).groupBy(hour).agg(F.count(F.lit(1)).alias("n"))
+    start = F.coalesce(_newest_hours(hours, newest), F.lit("0001-01-01").cast("timestamp_ntz"))
+    # Events without a time count as the oldest, where there are too few others.
+    untimed = F.col("event_timestamp").isNull() & (F.coalesce(hours.agg(F.sum("n")).scalar(), F.lit(0)) < newest)
     sample = (
-        events.where(lag.isNotNull() & (lag >= 0) & (lag < 3600))
+        valid.where((F.col("event_timestamp") >= start) | untimed)
         .orderBy(F.desc("event_timestamp"), F.desc("event_id"))
         .limit(newest)
         .select("event_lag_seconds")
@@ -236,6 +291,61 @@ def recent_lag(events: DataFrame, newest: int = 5000) -> DataFrame:
     )
 
 
+#: Size of a stored sketch of lags. Ranks of its quantiles are off by less than ``RANK_ERROR`` of all values
+#: (three times the published 99 % bound for this size), however many sketches are merged.
+SKETCH_SIZE = 1024
+RANK_ERROR = 0.01
+LAG_QUANTILES = (50, 95, 99)
+
+
+def lag_hours(events: DataFrame) -> DataFrame:
+    """Lag of every hour, to be stored: counts, sums, and a mergeable sketch of its quantiles."""
+    lag = F.col("event_lag_seconds")
+    hour = F.date_trunc("hour", F.col("event_timestamp").cast("timestamp")).alias("hour")
+    return _plausible(events).groupBy(hour).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(lag).alias("total"),
+        F.max(lag).alias("max_lag"),
+        F.kll_sketch_agg_double(lag.cast("double"), SKETCH_SIZE).alias("sketch"),
+    )
+
+
+def lag_summary(hours: DataFrame, period: str | None = "day") -> DataFrame:
+    """Lag by ``day`` or another unit (in total without one), from the stored hours alone."""
+    start = F.lit(None).cast("timestamp") if period is None else F.date_trunc(period, "hour")
+    merged = hours.groupBy(start.alias("period")).agg(
+        F.sum("n").alias("sample_size"),
+        ratio(F.sum("total"), F.sum("n")).alias("avg_lag"),
+        F.max("max_lag").alias("max_lag"),
+        F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("sketch"),
+    )
+    quantiles = [F.kll_sketch_get_quantile_double("sketch", F.lit(p / 100)).alias(f"p{p}_lag") for p in LAG_QUANTILES]
+    return merged.select("period", "sample_size", "avg_lag", *quantiles, "max_lag")
+
+
+def newest_lag(hours: DataFrame, newest: int = 5000) -> DataFrame:
+    """Lag of the newest whole hours that hold ``newest`` events, from the stored hours alone."""
+    plain = hours.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    return lag_summary(plain.where(F.col("hour") >= _newest_hours(plain.select("hour", "n"), newest)), None).drop("period")
+
+
+def rank_errors(summary: DataFrame, events: DataFrame, period: str = "day") -> DataFrame:
+    """How far the ranks of estimated quantiles are from the wanted ones, as shares of the period's events.
+
+    A quantile is as good as the nearest rank it may stand for: equal lags share theirs.
+    """
+    start = F.date_trunc(period, F.col("event_timestamp").cast("timestamp")).alias("period")
+    lags = _plausible(events).select(start, F.col("event_lag_seconds").cast("double").alias("lag"))
+    known = summary.select(F.col("period").alias("of"), *[f"p{p}_lag" for p in LAG_QUANTILES])
+    joined = lags.join(known, F.col("period").eqNullSafe(F.col("of")))
+    share = lambda kept: F.count_if(kept) / F.count(F.lit(1))
+    off = []
+    for p in LAG_QUANTILES:
+        under, upto = share(F.col("lag") < F.col(f"p{p}_lag")), share(F.col("lag") <= F.col(f"p{p}_lag"))
+        off.append(F.greatest(F.lit(0.0), under - p / 100, F.lit(p / 100) - upto).alias(f"p{p}_off"))
+    return joined.groupBy("period").agg(*off)
+
+
 def throughput(events: DataFrame, interval: str = "1 hour") -> DataFrame:
     """Mean and spread of the event rate over intervals that have events; steady below 20 %."""
     seconds = F.unix_timestamp(F.col("w.end").cast("timestamp")) - F.unix_timestamp(F.col("w.start").cast("timestamp"))

@@ -10,7 +10,12 @@ from odsflow.functions.times import whole_units_between
 from odsflow.operators.joins import fits_broadcast, lookup_join
 from odsflow.schemas import PAGEVIEW_TYPES
 
-WINDOW_LENGTH = "5 minutes"
+WINDOW_LENGTH, WINDOW_SECONDS = "5 minutes", 300
+
+
+def window_number(time: Column) -> Column:
+    """Number of the window that a time is in, counted from 1970; in the order of the windows."""
+    return F.floor(F.unix_timestamp(time.cast("timestamp")) / WINDOW_SECONDS)
 
 
 def window_summary(events: DataFrame) -> DataFrame:
@@ -94,6 +99,20 @@ def _duration() -> Column:
     return whole_units_between("SECOND", "session_start", "session_end")
 
 
+def events_of_sessions_since(events: DataFrame, start: Column) -> DataFrame:
+    """All events of the sessions whose first event is at ``start`` or later.
+
+    Such sessions have no event before it. Older events are read for their session alone, and only
+    those meet the others whose session is active since.
+    """
+    since = events.where(F.col("event_timestamp") >= start)
+    active = since.select("session_id").distinct()
+    older = events.where(F.col("event_timestamp") < start).select(F.col("session_id").alias("of"))
+    same = F.col("session_id").eqNullSafe(F.col("of"))
+    begun = active.join(older, same, "left_semi").select(F.col("session_id").alias("of"))
+    return since.join(begun, same, "left_anti")
+
+
 def session_base(events: DataFrame) -> DataFrame:
     """One row per session: who, when, how much, and which steps were reached.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from odsflow.functions.measures import count_where, ratio
 from odsflow.functions.times import days_between
+from odsflow.operators.bitmaps import distinct_counts, id_bitmaps
 from odsflow.operators.joins import lookup_join
 from odsflow.schemas import UNSOLD_STATUSES
 
@@ -128,21 +129,82 @@ def sales_summary(
     that no key and no measure needs are not joined; each has one row per key, so that
     leaves the result as it is.
     """
-    needs = {_HOURLY_KEYS[key][0] for key in keys}
-    if "product" in needs or any(_HOURLY_MEASURES[m][0] for m in measures):
-        items = lookup_join(items, products.select("product_id", "category", "department", "cost"), "product_id")
-    if "user" in needs:
-        items = lookup_join(items, users.select("user_id", "country", "gender"), "user_id")
+    codes: dict[str, tuple[list[str], DataFrame]] = {}
+    for table, dim, key, extra in (("product", products, "product_id", ["cost"]), ("user", users, "user_id", [])):
+        names = [k for k in keys if _HOURLY_KEYS[k][0] == table]
+        if names:
+            named = dim.select(key, *extra, *[_HOURLY_KEYS[k][1]().alias(k) for k in names])
+            codes[table] = names, _codes(named, key, names)
+            items = lookup_join(items, _coded(named, codes[table][1], names, table).select(key, *extra, table), key)
+        elif table == "product" and any(_HOURLY_MEASURES[m][0] for m in measures):
+            items = lookup_join(items, dim.select(key, *extra), key)
     # The hour implies the date, so the date need not widen the grouping key.
     implied = {"order_date"} if {"order_hour", "order_date"} <= set(keys) else set()
-    grouped = items.groupBy(*[_HOURLY_KEYS[key][1]().alias(key) for key in keys if key not in implied]).agg(
+    own = [k for k in keys if _HOURLY_KEYS[k][0] is None and k not in implied]
+    grouped = items.groupBy(*[_HOURLY_KEYS[key][1]().alias(key) for key in own], *codes).agg(
         *[_HOURLY_MEASURES[m][1]().alias(m) for m in measures]
     )
     if implied:
         grouped = grouped.withColumn("order_date", F.col("order_hour").cast("date"))
+    for table, (names, coded) in codes.items():
+        grouped = lookup_join(grouped, coded.withColumnRenamed("code", table), table)
     return grouped.select(*keys, *measures)
 
 
+def _codes(dim: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """One number for each combination of ``names``: the least ``key`` that has it. A combination of
+    nulls has none, like a key that is unknown."""
+    return dim.where(_any_known(names)).groupBy(*names).agg(F.min(key).alias("code"))
+
+
+def _any_known(names: list[str]) -> Column:
+    found = F.col(names[0]).isNotNull()
+    for name in names[1:]:
+        found = found | F.col(name).isNotNull()
+    return found
+
+
+def _coded(dim: DataFrame, codes: DataFrame, names: list[str], name: str) -> DataFrame:
+    """``dim`` with the code of its combination, so that facts are grouped by a number instead of texts."""
+    right = codes.select(*[F.col(n).alias(f"code_{n}") for n in names], F.col("code").alias(name))
+    same = [F.col(n).eqNullSafe(F.col(f"code_{n}")) for n in names]
+    return dim.join(right, same, "left")
+
+
+# -- roll-ups ----------------------------------------------------------------
+
+#: Measures that survive a second sum.
+ADDITIVE = (
+    "total_items_ordered", "total_revenue", "total_cost", "total_profit", "returned_items", "cancelled_items",
+    "net_revenue", "net_profit",
+)
+#: Distinct counts of the summary and the ids they count.
+DISTINCT = {"total_orders": "order_id", "total_customers": "user_id"}
+
+
+def hourly_sums(items: DataFrame, products: DataFrame, users: DataFrame) -> DataFrame:
+    """Additive measures of every hour, to be stored."""
+    return sales_summary(items, products, users, ("order_hour",), ADDITIVE)
+
+
+def hourly_ids(items: DataFrame) -> DataFrame:
+    """Orders and customers of every hour as bitmaps, to be stored. Nothing is joined."""
+    hours = items.select(_HOURLY_KEYS["order_hour"][1]().alias("order_hour"), *DISTINCT.values())
+    return id_bitmaps(hours, ["order_hour"], DISTINCT)
+
+
+def roll_up(sums: DataFrame, ids: DataFrame, period: str | None) -> DataFrame:
+    """All measures of the summary by ``day``, ``month`` or any other unit of time, or in total, from the two
+    hourly tables alone. Sums are added up and bitmaps merged, so distinct counts are exact."""
+    start = F.lit(None).cast("timestamp") if period is None else F.date_trunc(period, F.col("order_hour")).alias("period")
+    counts = distinct_counts(ids.select(start, "what", "bucket", "bits"), ["period"], list(DISTINCT))
+    counts = counts.withColumnRenamed("period", "of")
+    added = sums.groupBy(start.alias("period")).agg(*[F.sum(m).alias(m) for m in ADDITIVE])
+    joined = added.join(counts, F.col("period").eqNullSafe(F.col("of")), "left")
+    zero = {name: F.coalesce(name, F.lit(0)) for name in DISTINCT}
+    return joined.withColumns(zero).select("period", *ADDITIVE, *DISTINCT)
+
+
 def since_newest_hours(items: DataFrame, hours: int) -> DataFrame:
     """Items of the newest ``hours`` that have any.
 

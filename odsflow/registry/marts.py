@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from odsflow.plans import clickstream, inventory, products, sales
 from odsflow.registry.base import add
+from odsflow.sinks import paths, refresh
 
 _WINDOW = """aggregate_id, window_start, window_end, event_date, traffic_source, browser, event_type, page_type,
     total_events, unique_sessions, unique_users, purchase_events, avg_event_lag_seconds"""
@@ -66,6 +67,39 @@ def _(t):
     return sales.sales_summary(t.order_items(*_HOURLY_ITEMS), t.products(), t.users("user_id", "country", "gender"))
 
 
+def _rolled(t, period):
+    """Stored hours and their roll-up."""
+    folder = paths.scratch(t.spark, "sales-hours")
+    items = t.order_items(*_HOURLY_ITEMS)
+    refresh.refresh(sales.hourly_sums(items, t.products(), t.users("user_id", "country", "gender")), f"{folder}/sums")
+    refresh.refresh(sales.hourly_ids(t.order_items("order_id", "user_id", "created_at")), f"{folder}/ids")
+    stored = [refresh.read_current(t.spark, f"{folder}/{name}") for name in ("sums", "ids")]
+    return sales.roll_up(*stored, period)
+
+
+def _rolled_sql(period: str) -> str:
+    unit = f"date_trunc('{period}', created_at)::TIMESTAMP"
+    kept = "status NOT IN ('Cancelled', 'Returned')"
+    return f"""
+    SELECT {unit} AS period, count(id) AS total_items_ordered, sum(sale_price)::DOUBLE AS total_revenue,
+           sum(cost)::DOUBLE AS total_cost, sum(sale_price - cost)::DOUBLE AS total_profit,
+           count(*) FILTER (status = 'Returned') AS returned_items, count(*) FILTER (status = 'Cancelled') AS cancelled_items,
+           sum(CASE WHEN {kept} THEN sale_price ELSE 0 END)::DOUBLE AS net_revenue,
+           sum(CASE WHEN {kept} THEN sale_price - cost ELSE 0 END)::DOUBLE AS net_profit,
+           count(DISTINCT order_id) AS total_orders, count(DISTINCT user_id) AS total_customers
+    FROM fact_order_items LEFT JOIN (SELECT product_id, cost FROM dim_products) USING (product_id) GROUP BY 1"""
+
+
+@add("sales_daily_rollup", _rolled_sql("day"))
+def _(t):
+    return _rolled(t, "day")
+
+
+@add("sales_monthly_rollup", _rolled_sql("month"))
+def _(t):
+    return _rolled(t, "month")
+
+
 _SALES_ITEMS = ("id", "product_id", "status", "sale_price")
 
 
