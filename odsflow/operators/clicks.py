@@ -27,14 +27,15 @@ def parse(messages: DataFrame) -> DataFrame:
     )
 
 
-def _accepted() -> Column:
+def accepted() -> Column:
+    """Whether a parsed message is valid."""
     # A time that cannot be read would leave the row without a partition, and its
     # deduplication state without an end.
     return c.is_valid("data") & F.col("event_timestamp").isNotNull()
 
 
 def valid(parsed: DataFrame) -> DataFrame:
-    return parsed.where(_accepted()).select("data.*", "event_timestamp")
+    return parsed.where(accepted()).select("data.*", "event_timestamp")
 
 
 def dead_letters(parsed: DataFrame, failed_at: Column | None = None) -> DataFrame:
@@ -44,7 +45,7 @@ def dead_letters(parsed: DataFrame, failed_at: Column | None = None) -> DataFram
         .when(~c.is_valid("data"), BAD_FIELDS)
         .otherwise(BAD_TIME)
     )
-    return parsed.where(~_accepted()).select(
+    return parsed.where(~accepted()).select(
         (F.current_timestamp() if failed_at is None else failed_at).alias("failed_at"),
         "raw_message",
         reason.alias("error_message"),

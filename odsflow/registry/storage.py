@@ -8,15 +8,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from odsflow.functions import clicks as click_functions
-from odsflow.operators import changes, clicks, ingest, keyed
+from odsflow.operators import changes, clicks, ingest, keyed, offsets
 from odsflow.operators.selection import retained
 from odsflow.plans import clickstream, quality
 from odsflow.registry.base import add
 from odsflow.schemas import CHANGE_FEEDS, EVENTS
 from odsflow.sinks import paths, refresh
 from odsflow.sinks.append import read_batches
-from odsflow.sinks.events import EventTable
-from odsflow.sinks.layout import ColocatedPair
+from odsflow.sinks.layout import ColocatedPair, drop_expired_batches
 from odsflow.sources.snapshots import read_csv
 from odsflow.sources.topics import read_topic_files
 from odsflow.streaming import changes as change_streams
@@ -118,6 +117,38 @@ def _(t):
     return read_batches(t.spark, f"{folder}/events", EVENTS).select(*_DETAIL_NAMES)
 
 
+@add(
+    "stream_window_counts",
+    """SELECT window_start, window_end, traffic_source, browser, event_type, page_type, count(*) AS total_events FROM (
+           SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + to_minutes(5) AS window_end,
+                  traffic_source, browser, event_type, CASE WHEN event_type = 'cancel' THEN 'post_purchase' ELSE event_type END AS page_type
+           FROM click_messages WHERE verdict = 'valid')
+       WHERE window_end <= (SELECT max(ts) FROM click_messages WHERE verdict = 'valid') - to_minutes(10) GROUP BY ALL""",
+)
+def _(t):
+    # Every message is delivered twice; windows count once the watermark has passed them.
+    folder = paths.scratch(t.spark, "window-stream")
+    topic = t.click_topic()
+    topic.unionByName(topic).write.parquet(f"{folder}/topic")
+    click_streams.start_window_counts(
+        read_topic_files(t.spark, f"{folder}/topic"), f"{folder}/counts", f"{folder}/checkpoint", availableNow=True
+    ).awaitTermination()
+    counts = t.spark.read.option("basePath", f"{folder}/counts").parquet(f"{folder}/counts/batch_id=*")
+    return counts.drop("batch_id", "approx_sessions", "approx_users")
+
+
+@add(
+    "topic_gaps",
+    """SELECT topic, "partition", seen + 1 AS first_missing, event_id - 1 AS last_missing FROM (
+           SELECT 'clickstream-events' AS topic, (user_id % 4)::BIGINT AS "partition", event_id,
+                  lag(event_id) OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS seen FROM events)
+       WHERE event_id > seen + 1""",
+)
+def _(t):
+    # Users share one numbering here, so their partitions have gaps.
+    return offsets.missing_offsets(t.click_topic(), block=1000)
+
+
 # -- normalisation -----------------------------------------------------------
 
 _RAW_CLICKS = """
@@ -220,6 +251,17 @@ def _(t):
     return changes.rejected_per_batch(changes.decode(topic, USERS, "batch"), USERS, "batch")
 
 
+@add(
+    "cdc_error_span",
+    f"""SELECT user_id % 4 AS "partition", offset_ AS offset,
+               count(*) OVER (PARTITION BY user_id % 4 ORDER BY offset_ RANGE BETWEEN 999 PRECEDING AND CURRENT ROW) AS in_span
+        FROM ({_CHANGES}) WHERE k IN (0, 2)""",
+)
+def _(t):
+    decoded = changes.decode(t.user_changes(), USERS, "partition", "offset")
+    return offsets.count_in_span(decoded.where(changes.is_rejected(USERS)).select("partition", "offset"), 1000)
+
+
 _SNAPSHOT = """SELECT user_id, age, traffic_source, CAST(NULL AS DOUBLE) AS latitude, created_at, updated_at FROM dim_users"""
 
 
@@ -317,12 +359,9 @@ def _(t):
     click_streams.start_valid(
         read_topic_files(t.spark, f"{folder}/topic"), f"{folder}/events", f"{folder}/checkpoint", availableNow=True
     ).awaitTermination()
-    table = EventTable(t.spark, f"{folder}/events", EVENTS)
-    table.move()
-    table.drop_moved()
-    newest = table.read().agg(F.max("event_date")).first()[0]
-    table.drop_expired(newest or dt.date.min + dt.timedelta(days=7))
-    return table.read().select(*_DETAIL_NAMES)
+    newest = read_batches(t.spark, f"{folder}/events", EVENTS).agg(F.max("event_date")).first()[0]
+    drop_expired_batches(t.spark, f"{folder}/events", newest or dt.date.min + dt.timedelta(days=7))
+    return read_batches(t.spark, f"{folder}/events", EVENTS).select(*_DETAIL_NAMES)
 
 
 @add("csv_roundtrip", "SELECT id, name, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude FROM dim_centres")
@@ -339,6 +378,23 @@ def _(t):
     return refresh.read_current(t.spark, path)
 
 
+_WINDOW_COLUMNS = """aggregate_id, window_start, window_end, event_date, traffic_source, browser, event_type, page_type,
+    total_events, unique_sessions, unique_users, purchase_events, avg_event_lag_seconds"""
+
+
+@add("mv_refresh_days", f"SELECT {_WINDOW_COLUMNS} FROM window_summary")
+def _(t):
+    path = f"{paths.scratch(t.spark, 'window-days')}/mart"
+    events, build = t.events(), lambda rows: clickstream.window_summary(rows).drop("version_emitted_at")
+    # Half of the newest days' events come later; only these days are computed again.
+    newest = events.agg(F.max("event_date")).scalar()
+    later = (F.col("event_date") > F.date_sub(newest, 5)) & (F.col("event_id") % 2 == 0)
+    first = events.where(~F.coalesce(later, F.lit(False)))
+    refresh.refresh_days(build, first, first, path)
+    refresh.refresh_days(build, events, events.where(later), path)
+    return t.spark.read.schema(build(events).schema).parquet(path).select(*_WINDOW_COLUMNS.replace(",", " ").split())
+
+
 @add(
     "colocated_join",
     """SELECT o.status AS order_status, COUNT(*) AS items, CAST(SUM(i.sale_price) AS DOUBLE) AS revenue

@@ -106,6 +106,11 @@ class ChangeFeed:
     max_rows_per_batch: int = 300_000
     interval: str = "5 seconds"
 
+    @property
+    def error_span(self) -> int:
+        """Offsets in a row within which the budget holds: those of ten full batches."""
+        return 10 * self.max_rows_per_batch
+
     @property
     def topic(self) -> str:
         return CHANGE_TOPIC_PREFIX + self.source

@@ -38,9 +38,12 @@ def append_batch(
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches written so far, as one table."""
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """All batches written so far, as one table; with ``before``, only those with a lower number."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).option("basePath", path).parquet(path).select(*schema.fieldNames())
+    rows = spark.read.schema(full).option("basePath", path).parquet(path)
+    if before is not None:
+        rows = rows.where(rows[BATCH] < before)
+    return rows.select(*schema.fieldNames())

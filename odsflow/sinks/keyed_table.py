@@ -1,160 +1,89 @@
-"""Keyed table on plain files: a base, and a log of changes that is merged on reading.
+"""Keyed table on plain files: a snapshot and the changes since, merged by a join on reading.
 
-Plain Parquet cannot change a row in place. Rewriting the table for every micro-batch
-would cost as much as the table is large, so a batch only appends its changes to the log.
-Readers apply the log to the base, and a scheduled ``compact`` folds it in.
-
-The base is divided by a hash of the key into a number of parts that is fixed when the table is
-made and recorded with it. ``compact`` rewrites the parts that the log touches and leaves the
-others; a manifest says which version holds each part. Folders, paths and rows of the manifest
-are bounded by the number of parts, whatever the keys are.
+A micro-batch appends its changes; nothing is rewritten for it. Readers take the snapshot, drop the
+keys that changed by an anti join, and add the last change of each (``operators/keyed.py``). A
+scheduled job writes what readers see as the next snapshot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odsflow.operators.changes import DELETED
-from odsflow.operators.keyed import latest_by_key, merge_changes, without_deleted
-from odsflow.sinks.owner import claim
-from odsflow.sinks.paths import numbered, parts, remove
+from odsflow.operators.keyed import latest_by_key, merge_changes
+from odsflow.sinks.append import BATCH, append_batch
+from odsflow.sinks.paths import numbered, remove
 
 #: Order of changes: batches first, then position in the topic. A key always lands in the
 #: same topic partition, so this is the order in which its changes were made.
-ORDER = ("batch_id", "partition", "offset")
+ORDER = (BATCH, "partition", "offset")
 
-_PART = "table_part"
-_MANIFEST = f"{_PART} int, holder long, n_parts int"
+_UPTO = "upto"
 
 
 class KeyedTable:
-    """``n_parts`` counts for a new table only; choose it so that a part is a few files."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, n_parts: int = 64):
-        self.spark, self.path, self.schema, self.key, self.n_parts = spark, path, schema, key, n_parts
-        self._base_schema = T.StructType([*schema.fields, T.StructField(_PART, T.IntegerType())])
-        self._log_schema = T.StructType(
-            [
-                *schema.fields,
-                T.StructField(DELETED, T.IntegerType()),
-                T.StructField("partition", T.IntegerType()),
-                T.StructField("offset", T.LongType()),
-                T.StructField("batch_id", T.LongType()),
-            ]
-        )
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str):
+        self.spark, self.schema, self.key = spark, schema, key
+        self.log, self.snapshots = f"{path}/log", f"{path}/snapshot"
+        more = {DELETED: T.IntegerType(), "partition": T.IntegerType(), "offset": T.LongType(), BATCH: T.LongType()}
+        self._log_schema = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in more.items()]])
 
     def load(self, snapshot: DataFrame) -> None:
         """Fill a new table from a snapshot."""
-        if self._version() is not None or self._batches(None):
-            raise ValueError(f"{self.path} holds a table already")
-        self._commit(snapshot, -1, {}, range(self.n_parts), self.n_parts)
+        if self._upto() is not None or self._batches(None):
+            raise ValueError(f"{self.log} and {self.snapshots} hold a table already")
+        self._write(snapshot, -1)
 
     def append(self, changes: DataFrame, batch_id: int, checkpoint: str | None = None) -> None:
-        """Log one batch. Only the last change of a key within the batch is kept, and a batch
-        that is replayed replaces itself. With ``checkpoint`` the table is tied to its stream."""
-        if checkpoint is not None:
-            claim(self.spark, self.path, checkpoint, f"{self.path}/log")
+        """Keep the changes of one batch, the last one of each key. A batch that is replayed
+        replaces itself. With ``checkpoint`` the table is tied to its stream."""
         newest = latest_by_key(changes, [self.key], ["partition", "offset"])
-        columns = [c for c in self._log_schema.fieldNames() if c != "batch_id"]
-        newest.select(*columns).write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+        append_batch(newest, self.log, batch_id, [c for c in self._log_schema.fieldNames() if c != BATCH], checkpoint=checkpoint)
 
     def read(self) -> DataFrame:
         """Current rows."""
-        version = self._version()
-        base = self._base(self._manifest(version)).select(*self.schema.fieldNames())
-        batches = self._batches(version)
-        return merge_changes(base, self._log(batches), [self.key], ORDER) if batches else base
-
-    def compact(self) -> int | None:
-        """Fold the log into the base, if there is anything new in it.
-
-        The log is listed once: the new version holds exactly the batches it is named after, and
-        one that arrives meanwhile stays in the log. Readers see a version once its manifest is
-        complete.
-        """
-        version = self._version()
-        batches = self._batches(version)
+        upto = self._upto()
+        return self._merged(upto, self._batches(upto))
+
+    def fold(self) -> int | None:
+        """Write the current rows as the next snapshot, if there are changes since the last one. It is named
+        after the last batch that it holds; batches that arrive meanwhile stay in the log."""
+        upto = self._upto()
+        batches = self._batches(upto)
         if not batches:
             return None
-        log, manifest = self._log(batches), self._manifest(version)
-        n_parts = next(iter(manifest.values()))[1] if manifest else self.n_parts
-        newest = latest_by_key(log, [self.key], ORDER)
-        touched = log.select(self._part(n_parts)).distinct()
-        kept = self._base(manifest).join(F.broadcast(touched), _PART, "left_semi").drop(_PART)
-        kept = kept.join(log.select(self.key), self.key, "left_anti")
-        columns = self.schema.fieldNames()
-        rows = kept.select(*columns).unionByName(without_deleted(newest).select(*columns))
-        # No more numbers than the table has parts.
-        numbers = [row[_PART] for row in touched.collect()]
-        self._commit(rows, batches[-1], manifest, numbers, n_parts)
+        self._write(self._merged(upto, batches), batches[-1])
         return batches[-1]
 
-    def vacuum(self) -> None:
-        """Remove parts that a newer version replaces, and log batches the base contains. Not
-        while readers that started before the last ``compact`` are still running."""
-        version = self._version()
-        if version is None:
-            return
-        current = {part: holder for part, (holder, _) in self._manifest(version).items()}
-        for old, part in parts(self.spark, f"{self.path}/base", "version", _PART):
-            if old <= version and current.get(part) != old:
-                remove(self.spark, f"{self.path}/base/version={old}/{_PART}={part}")
-        for old in numbered(self.spark, f"{self.path}/manifest", "version"):
-            if old < version:
-                remove(self.spark, f"{self.path}/manifest/version={old}")
-        for batch in numbered(self.spark, f"{self.path}/log", "batch_id", complete=False):
-            if batch <= version:
-                remove(self.spark, f"{self.path}/log/batch_id={batch}")
-
-    def _part(self, n_parts: int) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(n_parts)).cast("int").alias(_PART)
-
-    def _version(self) -> int | None:
-        """Last batch that the base contains; -1 stands for the snapshot."""
-        versions = numbered(self.spark, f"{self.path}/manifest", "version")
-        return versions[-1] if versions else None
-
-    def _manifest(self, version: int | None) -> dict[int, tuple[int, int]]:
-        """Part to the version that holds it, and the number of parts. Empty parts are absent, but for
-        one row with part -1 that keeps the number."""
-        if version is None:
-            return {}
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/version={version}").collect()
-        return {row[_PART]: (row.holder, row.n_parts) for row in rows}
-
-    def _base(self, manifest: dict[int, tuple[int, int]]) -> DataFrame:
-        held = [(holder, part) for part, (holder, _) in sorted(manifest.items()) if part >= 0]
-        if not held:
-            return self.spark.createDataFrame([], self._base_schema)
-        full = T.StructType([*self._base_schema.fields, T.StructField("version", T.LongType())])
-        reader = self.spark.read.schema(full).option("basePath", f"{self.path}/base")
-        return reader.parquet(*[f"{self.path}/base/version={v}/{_PART}={p}" for v, p in held]).drop("version")
+    def drop_folded(self) -> None:
+        """Remove old snapshots and the batches that are in the newest. Not while older readers still run."""
+        upto = self._upto()
+        for folder, label in ((self.snapshots, _UPTO), (self.log, BATCH)):
+            for number in numbered(self.spark, folder, label, complete=False):
+                if upto is not None and (number < upto or number == upto and label == BATCH):
+                    remove(self.spark, f"{folder}/{label}={number}")
+
+    def _upto(self) -> int | None:
+        """Last batch that the newest complete snapshot holds; -1 for a table that was loaded."""
+        found = numbered(self.spark, self.snapshots, _UPTO)
+        return found[-1] if found else None
 
     def _batches(self, after: int | None) -> list[int]:
-        """Complete batches after a version: one that is being written is not read by half."""
-        logged = numbered(self.spark, f"{self.path}/log", "batch_id")
-        return [batch for batch in logged if after is None or batch > after]
-
-    def _log(self, batches: list[int]) -> DataFrame:
-        reader = self.spark.read.schema(self._log_schema).option("basePath", f"{self.path}/log")
-        return reader.parquet(*[f"{self.path}/log/batch_id={b}" for b in batches])
-
-    def _commit(self, rows: DataFrame, version: int, manifest: dict, replaced, n_parts: int) -> None:
-        """Write the rows of the ``replaced`` parts, then the manifest that makes them current."""
-        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], self._part(n_parts))
-        (
-            typed.hint("rebalance", _PART)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(_PART)
-            .parquet(f"{self.path}/base/version={version}")
-        )
-        replaced = set(replaced)
-        new = [(part, holder, n_parts) for part, (holder, _) in manifest.items() if part not in replaced and part >= 0]
-        written = [part for holder, part in parts(self.spark, f"{self.path}/base", "version", _PART) if holder == version]
-        new += [(part, version, n_parts) for part in written] + [(-1, version, n_parts)]
-        table = self.spark.createDataFrame(new, _MANIFEST).coalesce(1)
-        # A second compaction to the same version fails here.
-        table.write.mode("error").parquet(f"{self.path}/manifest/version={version}")
+        """Complete batches after a snapshot: one that is being written is not read by half."""
+        return [b for b in numbered(self.spark, self.log, BATCH) if after is None or b > after]
+
+    def _merged(self, upto: int | None, batches: list[int]) -> DataFrame:
+        snapshot = self.spark.createDataFrame([], self.schema)
+        if upto is not None:
+            snapshot = self.spark.read.schema(self.schema).parquet(f"{self.snapshots}/{_UPTO}={upto}")
+        if not batches:
+            return snapshot
+        reader = self.spark.read.schema(self._log_schema).option("basePath", self.log)
+        changes = reader.parquet(*[f"{self.log}/{BATCH}={b}" for b in batches])
+        return merge_changes(snapshot, changes, [self.key], ORDER)
+
+    def _write(self, rows: DataFrame, upto: int) -> None:
+        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        typed.write.mode("overwrite").parquet(f"{self.snapshots}/{_UPTO}={upto}")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odsflow.operators.joins import scan_bytes
-from odsflow.sinks.paths import numbered_dates, remove
+from odsflow.sinks.append import BATCH
+from odsflow.sinks.paths import numbered, numbered_dates, remove
 
 BLOOM_COLUMNS = ("session_id", "user_id")
 
@@ -46,6 +47,14 @@ def drop_expired_days(spark: SparkSession, path: str, today: dt.date, keep_days:
     return expired
 
 
+def drop_expired_batches(spark: SparkSession, path: str, today: dt.date, keep_days: int = 7) -> list[dt.date]:
+    """The same for a table whose batches have a folder each, with days inside."""
+    gone: set[dt.date] = set()
+    for batch in numbered(spark, path, BATCH):
+        gone.update(drop_expired_days(spark, f"{path}/{BATCH}={batch}", today, keep_days))
+    return sorted(gone)
+
+
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     """Keys that hold more than ``share`` of all rows. There are at most ``1 / share``."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -54,10 +54,3 @@ def numbered_dates(spark: SparkSession, path: str, label: str) -> list[dt.date]:
     fs, target = _fs(spark, f"{path}/{label}=*")
     names = [status.getPath().getName().split("=", 1)[1] for status in fs.globStatus(target) or []]
     return sorted(dt.date.fromisoformat(name) for name in names if name[:1].isdigit())
-
-
-def parts(spark: SparkSession, path: str, outer: str, inner: str) -> list[tuple[int, int]]:
-    """Numbers of the folders ``outer=m/inner=n`` below ``path``."""
-    fs, target = _fs(spark, f"{path}/{outer}=*/{inner}=*")
-    folders = [status.getPath() for status in fs.globStatus(target) or []]
-    return [(int(f.getParent().getName().split("=", 1)[1]), int(f.getName().split("=", 1)[1])) for f in folders]

@@ -8,7 +8,6 @@ from functools import partial
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from odsflow.operators import clicks as operators
 from odsflow.schemas import CHANGE_FEEDS, CLICK_TOPIC
 from odsflow.session import build_session
 from odsflow.sources.topics import read_topic, read_topic_files
@@ -24,7 +23,9 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
     trigger = {"availableNow": True} if options.once else {}
     root, checkpoint = options.root, f"{options.checkpoint}/{options.stream}"
     if options.stream == "changes":
-        started = changes.start_all(spark, options.servers, root, checkpoint, read, options.max_offsets, **trigger)
+        started = changes.start_all(
+            spark, options.servers, root, checkpoint, read, options.max_offsets, options.contiguous, **trigger
+        )
         return list(started.values())
     limit = 5000 if options.max_offsets is None else options.max_offsets or None
     messages = partial(read, spark, options.servers, CLICK_TOPIC, limit)
@@ -36,10 +37,12 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
         clicks.start_valid(messages(), f"{root}/dwd_clickstream_events", checkpoint, products=products, **trigger),
         clicks.start_dead_letters(messages(), f"{root}/ods_clickstream_deadletter", checkpoint, **trigger),
     ]
+    started.append(clicks.start_late_rows(messages(), f"{root}/clickstream_late_rows", checkpoint, **trigger))
     if options.windows:
-        events = operators.enrich(operators.valid(operators.parse(messages())))
         path = f"{root}/clickstream_window_counts"
-        started.append(clicks.start_window_counts(events, path, checkpoint, **trigger))
+        started.append(clicks.start_window_counts(messages(), path, checkpoint, **trigger))
+    if options.contiguous:
+        started.append(clicks.start_offsets(messages(), f"{root}/clickstream_offsets", checkpoint, **trigger))
     return started
 
 
@@ -54,6 +57,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-offsets", type=int, help="messages per batch, 0 for no bound (5,000 clicks by default)")
     parser.add_argument("--enrich", action="store_true", help="add the product's category to clicks")
     parser.add_argument("--windows", action="store_true", help="also write five-minute counts of clicks")
+    parser.add_argument("--contiguous", action="store_true", help="missing offsets are an error (no compacted topics)")
     parser.add_argument("--once", action="store_true", help="stop when all present messages are done")
     return parser.parse_args(arguments)
 

@@ -6,19 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from odsflow.operators import changes
+from odsflow.operators.offsets import count_in_span
 from odsflow.schemas import CHANGE_FEEDS, DEAD_LETTERS, ChangeFeed
-from odsflow.sinks.append import append_batch
+from odsflow.sinks.append import append_batch, read_batches
 from odsflow.sinks.keyed_table import KeyedTable
 from odsflow.sources.topics import read_topic
+from odsflow.streaming.clicks import check_offsets
 
 POSITION = ("partition", "offset")
 
 
+_PLACES = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())])
+
+
 class ErrorBudgetExceeded(RuntimeError):
-    """More rows of a batch were rejected than the feed allows."""
+    """More rows within a span of a topic were rejected than the feed allows."""
 
 
 def apply_batch(
@@ -28,12 +34,20 @@ def apply_batch(
     table: KeyedTable,
     dead_letters: str,
     checkpoint: str | None = None,
+    contiguous: bool = False,
 ) -> None:
     """Log the good rows of a batch. Rejected ones are kept first; when they are more than the
-    budget the batch is not applied."""
+    budget the batch is not applied.
+
+    The budget holds for any ``feed.error_span`` offsets in a row, over as many batches as these take.
+    With ``contiguous`` a missing offset is an error, and nothing is applied.
+    """
+    if contiguous:
+        check_offsets(batch, batch_id, f"{dead_letters}_offsets", checkpoint)
     envelopes = changes.decode(batch, feed, *POSITION).persist()
     try:
-        bad = envelopes.where(changes.is_rejected(feed)).select(
+        rejects = envelopes.where(changes.is_rejected(feed))
+        bad = rejects.select(
             F.current_timestamp().alias("failed_at"),
             "raw_message",
             F.lit(f"no usable row or key for {feed.table}").alias("error_message"),
@@ -41,8 +55,14 @@ def apply_batch(
         rejected = bad.count()
         if rejected:
             append_batch(bad, dead_letters, batch_id, DEAD_LETTERS.fieldNames(), checkpoint=checkpoint)
-        if rejected > feed.error_budget:
-            raise ErrorBudgetExceeded(f"{feed.table}: batch {batch_id} has {rejected} rejected rows")
+        places = f"{dead_letters}_places"
+        append_batch(rejects.select(*POSITION), places, batch_id, POSITION, checkpoint=checkpoint)
+        if rejected:
+            known = read_batches(batch.sparkSession, places, _PLACES, before=batch_id + 1)
+            over = count_in_span(known, feed.error_span).where(F.col("in_span") > feed.error_budget)
+            worst = over.agg(F.max("in_span")).first()[0]
+            if worst:
+                raise ErrorBudgetExceeded(f"{feed.table}: batch {batch_id} makes {worst} rejected rows within {feed.error_span} offsets")
         good = envelopes.where(~changes.is_rejected(feed))
         table.append(changes.flatten(good, feed, *POSITION), batch_id, checkpoint)
     finally:
@@ -50,10 +70,16 @@ def apply_batch(
 
 
 def start_feed(
-    messages: DataFrame, feed: ChangeFeed, table: KeyedTable, dead_letters: str, checkpoint: str, **trigger
+    messages: DataFrame,
+    feed: ChangeFeed,
+    table: KeyedTable,
+    dead_letters: str,
+    checkpoint: str,
+    contiguous: bool = False,
+    **trigger,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, feed, table, dead_letters, f"{checkpoint}/{feed.table}")
+        apply_batch(batch, batch_id, feed, table, dead_letters, f"{checkpoint}/{feed.table}", contiguous)
 
     return (
         messages.writeStream.foreachBatch(write)
@@ -71,6 +97,7 @@ def start_all(
     checkpoint: str,
     read: Callable[[SparkSession, str, str, int | None], DataFrame] = read_topic,
     max_offsets: int | None = None,
+    contiguous: bool = False,
     **trigger,
 ) -> dict[str, StreamingQuery]:
     """All feeds, each with its own checkpoint. ``max_offsets`` bounds the messages of a batch instead
@@ -83,6 +110,7 @@ def start_all(
             keyed_table(spark, root, feed),
             f"{root}/dead_letters/{feed.table}",
             checkpoint,
+            contiguous,
             **trigger,
         )
         for feed in CHANGE_FEEDS.values()

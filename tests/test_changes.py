@@ -11,12 +11,13 @@ from pyspark.errors import StreamingQueryException
 from conftest import rows
 from pyspark.sql import functions as F
 
-from odsflow.operators import changes, keyed
+from odsflow.operators import changes, keyed, offsets
 from odsflow.schemas import CHANGE_FEEDS
 from odsflow.sinks.append import read_batches
-from odsflow.sinks.paths import numbered, parts
+from odsflow.sinks.paths import numbered
 from odsflow.sources.topics import read_topic_files
 from odsflow.streaming import changes as change_streams
+from odsflow.streaming.clicks import LostMessages
 from odsflow.streaming.changes import ErrorBudgetExceeded, apply_batch, keyed_table
 
 CENTRES, ITEMS = CHANGE_FEEDS["distribution_centers"], CHANGE_FEEDS["order_items"]
@@ -78,92 +79,67 @@ def test_state_after_every_batch(spark, tmp_path):
 
 
 @pytest.mark.parametrize("cuts", [(), (3,), (1, 4), (2, 3, 5)])
-def test_batching_and_compaction_do_not_matter(spark, tmp_path, cuts):
+def test_batching_and_folding_do_not_matter(spark, tmp_path, cuts):
     table = keyed_table(spark, str(tmp_path), CENTRES)
     bounds = [0, *cuts, len(LOG)]
     for n, (start, end) in enumerate(itertools.pairwise(bounds)):
         apply(spark, table, LOG[start:end], n, start + 1, tmp_path)
         apply(spark, table, LOG[start:end], n, start + 1, tmp_path)  # replayed
         if n % 2 == 0:
-            table.compact()
-            apply(spark, table, LOG[start:end], n, start + 1, tmp_path)  # replayed after compaction
+            table.fold()
+            apply(spark, table, LOG[start:end], n, start + 1, tmp_path)  # replayed after it was folded
     assert state(table) == STATES[-1]
-    table.compact()
-    table.vacuum()
+    table.fold()
+    table.drop_folded()
     assert state(table) == STATES[-1]
     assert numbered(spark, f"{tmp_path}/{CENTRES.table}/log", "batch_id") == []
 
 
-def folders(spark, tmp_path):
-    found = parts(spark, f"{tmp_path}/{CENTRES.table}/base", "version", "table_part")
-    return {version: sorted(part for v, part in found if v == version) for version, _ in found}
-
-
-def test_compaction_rewrites_only_touched_parts(spark, tmp_path):
+def test_snapshots(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path), CENTRES)
-    table.n_parts = 50
     schema = "id bigint, name string, latitude double, longitude double"
     table.load(spark.createDataFrame([(n, "old", None, None) for n in (3, 15, 27, 28)], schema))
-    table.n_parts = 7  # the number recorded with the table counts
     with pytest.raises(ValueError):
         table.load(spark.createDataFrame([], schema))
-    loaded = folders(spark, tmp_path)[-1]
-    assert len(loaded) == 4
-    # One part changes, one loses its only row, one is new, two are left alone.
     log = [message("u", None, centre(28, "new")), message("d", {"id": 15}), message("c", None, centre(-4, "low"))]
     apply(spark, table, log, 0, 1, tmp_path)
     expected = [(-4, "low"), (27, "old"), (28, "new"), (3, "old")]
     assert state(table) == expected
-    assert table.compact() == 0
-    assert table.compact() is None
-    found = folders(spark, tmp_path)
-    assert found[-1] == loaded and len(found[0]) == 2
+    assert table.fold() == 0
+    assert table.fold() is None
     assert state(table) == expected
-    table.vacuum()
-    found = folders(spark, tmp_path)
-    assert len(found[-1]) == 2 and len(found[0]) == 2
+    table.drop_folded()
     assert state(table) == expected
+    assert numbered(spark, f"{tmp_path}/{CENTRES.table}/snapshot", "upto") == [0]
     # The deleted key comes back.
     apply(spark, table, [message("c", None, centre(15, "again"))], 1, 4, tmp_path)
-    table.compact()
-    table.vacuum()
+    table.fold()
+    table.drop_folded()
     assert state(table) == sorted([*expected, (15, "again")], key=str)
 
 
-def test_a_batch_that_arrives_while_compacting_is_kept(spark, tmp_path, monkeypatch):
+def test_a_batch_that_arrives_while_folding_is_kept(spark, tmp_path, monkeypatch):
     table = keyed_table(spark, str(tmp_path), CENTRES)
     apply(spark, table, [message("c", None, centre(1, "10"))], 0, 1, tmp_path)
-    commit = type(table)._commit
+    write = type(table)._write
 
     def late(self, *arguments):
         apply(spark, table, [message("u", None, centre(1, "99"))], 1, 2, tmp_path)
-        commit(self, *arguments)
+        write(self, *arguments)
 
-    monkeypatch.setattr(type(table), "_commit", late)
-    assert table.compact() == 0
-    monkeypatch.setattr(type(table), "_commit", commit)
+    monkeypatch.setattr(type(table), "_write", late)
+    assert table.fold() == 0
+    monkeypatch.setattr(type(table), "_write", write)
     assert state(table) == [(1, "99")]
-    # Another one between compaction and clean-up.
+    # Another one between the snapshot and clean-up.
     apply(spark, table, [message("u", None, centre(1, "100"))], 2, 3, tmp_path)
-    table.vacuum()
+    table.drop_folded()
     assert state(table) == [(1, "100")]
-    assert table.compact() == 2
-    table.vacuum()
+    assert table.fold() == 2
+    table.drop_folded()
     assert state(table) == [(1, "100")]
 
 
-def test_hashed_keys_give_a_bounded_number_of_folders(spark, tmp_path):
-    table = keyed_table(spark, str(tmp_path), CENTRES)
-    table.n_parts = 8
-    ids = spark.range(300).select(
-        F.xxhash64("id").alias("id"), F.lit("x").alias("name"), F.lit(None).cast("double").alias("latitude"),
-        F.lit(None).cast("double").alias("longitude"),
-    )
-    table.load(ids)
-    assert len(folders(spark, tmp_path)[-1]) <= 8
-    assert table.read().count() == 300
-
-
 def test_another_checkpoint_is_refused(spark, tmp_path):
     def run(checkpoint):
         topic(spark, LOG[:2], 1).write.mode("overwrite").parquet(f"{tmp_path}/topic")
@@ -182,14 +158,12 @@ def test_another_checkpoint_is_refused(spark, tmp_path):
     assert state(keyed_table(spark, str(tmp_path), CENTRES)) == STATES[1]
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
+def test_unfinished_snapshot_is_not_read(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path), CENTRES)
     apply(spark, table, LOG[:2], 0, 1, tmp_path)
-    table.compact()
-    path = f"{tmp_path}/{CENTRES.table}"
-    table.read().limit(0).withColumn("table_part", F.lit(0)).write.partitionBy("table_part").parquet(f"{path}/base/version=9")
+    table.fold()
     option = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    spark.range(1).write.option(option, "false").parquet(f"{path}/manifest/version=9")
+    table.read().limit(0).write.option(option, "false").parquet(f"{tmp_path}/{CENTRES.table}/snapshot/upto=9")
     assert state(table) == STATES[1]
 
 
@@ -239,6 +213,50 @@ def test_error_budget(spark, tmp_path):
     assert read_batches(spark, str(tmp_path / "dead"), DEAD_LETTERS).count() == 3
 
 
+def test_error_budget_over_many_batches(spark, tmp_path):
+    """Few rejects a batch, but too many within the span."""
+    feed = dataclasses.replace(CENTRES, error_budget=2, max_rows_per_batch=1)  # a span of ten offsets
+    table = keyed_table(spark, str(tmp_path), feed)
+    bad = message("u", None, None)
+    apply(spark, table, [bad, LOG[0]], 0, 1, tmp_path, feed)
+    apply(spark, table, [bad, bad], 1, 11, tmp_path, feed)  # the first is out of the span
+    with pytest.raises(ErrorBudgetExceeded, match="3 rejected rows within 10 offsets"):
+        apply(spark, table, [LOG[1], bad], 2, 18, tmp_path, feed)
+    assert state(table) == [(7, "A")]
+
+
+def test_lost_messages_stop_a_feed(spark, tmp_path):
+    table = keyed_table(spark, str(tmp_path), CENTRES)
+    dead, put = str(tmp_path / "dead"), lambda texts, batch, first: topic(spark, texts, first)
+    apply_batch(put(LOG[:2], 0, 1), 0, CENTRES, table, dead, contiguous=True)
+    with pytest.raises(LostMessages, match="t/0: 3 to 4"):
+        apply_batch(put(LOG[2:3], 1, 5), 1, CENTRES, table, dead, contiguous=True)
+    assert state(table) == STATES[1]
+    apply_batch(put(LOG[2:4], 1, 3), 1, CENTRES, table, dead, contiguous=True)
+    assert state(table) == STATES[3]
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_gaps_and_spans(spark, block):
+    """Against plain loops."""
+    chance = random.Random(block)
+    seen = {(p, o) for p in (0, 1) for o in chance.sample(range(60), 35)}
+    after = {0: -1, 1: 4}
+    data = [("t", p, o) for p, o in [*seen, *chance.sample(sorted(seen), 9)]]
+    messages = spark.createDataFrame(data, "topic string, partition int, offset bigint")
+    last = spark.createDataFrame([("t", p, o) for p, o in after.items()], "topic string, partition int, last bigint")
+    found = {(r.partition, o) for r in offsets.missing_offsets(messages, last, block=block).collect() for o in range(r.first_missing, r.last_missing + 1)}
+    expected = set()
+    for p in (0, 1):
+        mine = {o for q, o in seen if q == p}
+        new = {o for o in mine if o > after[p]}
+        expected |= {(p, o) for o in range(after[p] + 1, max(new)) if o not in new}
+    assert found == expected
+    counted = offsets.count_in_span(messages.select("partition", "offset").distinct(), block)
+    assert all(r.in_span == sum(r.offset - block < o <= r.offset for q, o in seen if q == r.partition) for r in counted.collect())
+    assert counted.count() == len(seen)
+
+
 def test_latest_by_key_with_a_hot_key(spark):
     df = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"), F.col("id").alias("version")
@@ -260,7 +278,7 @@ def test_upsert_updates_only_the_listed_columns(spark):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_any_log_in_any_batching(spark, tmp_path, seed):
-    """Random changes, cuts, replays and compactions against a dictionary."""
+    """Random changes, cuts, replays and snapshots against a dictionary."""
     choose = random.Random(seed)
     table = keyed_table(spark, str(tmp_path), CENTRES)
     table.n_parts = 3
@@ -278,7 +296,7 @@ def test_any_log_in_any_batching(spark, tmp_path, seed):
         for _ in range(choose.choice([1, 2])):
             apply(spark, table, log[start:end], batch, start, tmp_path)
         if choose.random() < 0.6:
-            table.compact()
+            table.fold()
         if choose.random() < 0.5:
-            table.vacuum()
+            table.drop_folded()
     assert dict(state(table)) == model

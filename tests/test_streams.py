@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from odsflow.operators import clicks
 from odsflow.schemas import BAD_JSON, CHANGE_FEEDS, DEAD_LETTERS, EVENTS, TOPIC_ROW
 from odsflow.sinks.append import append_batch, read_batches
-from odsflow.sinks.events import EventTable
+from odsflow.sinks.layout import drop_expired_batches
 from odsflow.sources.topics import read_topic_files
 from odsflow.streaming import changes as change_streams
 from odsflow.streaming import clicks as click_streams
@@ -122,8 +122,8 @@ def test_products_are_those_of_the_time_of_the_batch(spark, tmp_path):
     put(spark, f"{tmp_path}/topic", [click(1, "10:00", "product", uri="/product/5"), click(2, "10:01")])
     run_valid(spark, tmp_path, products=table.read)
     change(1, "Caps")
-    table.compact()
-    table.vacuum()
+    table.fold()
+    table.drop_folded()
     put(spark, f"{tmp_path}/topic", [click(3, "10:02", "product", uri="/product/5")], 2)
     run_valid(spark, tmp_path, products=table.read)
     found = spark.read.parquet(f"{tmp_path}/events").select("event_id", "product_category")
@@ -139,28 +139,76 @@ def test_another_checkpoint_is_refused(spark, tmp_path):
     assert ids(spark, tmp_path) == [1]
 
 
-def test_upkeep_of_the_event_table(spark, tmp_path):
-    events = EventTable(spark, f"{tmp_path}/events", EVENTS)
-    assert events.read().count() == 0 and events.move() is None
-    seen = []
+def test_retention_of_the_event_table(spark, tmp_path):
     for day, key in enumerate((1, 2, 3, 4)):
         body = json.dumps({"id": key, "session_id": "s", "event_type": "home", "created_at": f"2024-01-{10 + day}T10:00:00"})
         put(spark, f"{tmp_path}/topic", [body], key)
         run_valid(spark, tmp_path)
-        seen.append(key)
-        assert sorted(r.event_id for r in events.read().collect()) == seen
-        if key == 2:
-            assert events.move() is not None and events.move() is None
-            assert sorted(r.event_id for r in events.read().collect()) == seen
-            assert events.drop_moved()
-        if key == 3:
-            events.move()
-    assert sorted(r.event_id for r in events.read().collect()) == seen
-    gone = events.drop_expired(dt.date(2024, 1, 20))
+    gone = drop_expired_batches(spark, f"{tmp_path}/events", dt.date(2024, 1, 20))
     assert gone == [dt.date(2024, 1, 10), dt.date(2024, 1, 11), dt.date(2024, 1, 12)]
-    assert [r.event_id for r in events.read().collect()] == [4]
+    assert ids(spark, tmp_path) == [4]
     run_valid(spark, tmp_path)
-    assert [r.event_id for r in events.read().collect()] == [4]
+    assert ids(spark, tmp_path) == [4]
+
+
+def window_totals(spark, tmp_path):
+    found = spark.read.option("basePath", f"{tmp_path}/counts").parquet(f"{tmp_path}/counts/batch_id=*")
+    return rows(found.select(F.date_format("window_start", "HH:mm"), "total_events"))
+
+
+def run_windows(spark, tmp_path):
+    click_streams.start_window_counts(
+        read_topic_files(spark, f"{tmp_path}/topic", 1), f"{tmp_path}/counts", f"{tmp_path}/checkpoint", availableNow=True
+    ).awaitTermination()
+
+
+def test_repeated_messages_count_once_in_windows(spark, tmp_path):
+    put(spark, f"{tmp_path}/topic", [click(1, "10:00"), click(1, "10:00"), click(2, "10:04"), click(3, "10:05")])
+    run_windows(spark, tmp_path)
+    assert window_totals(spark, tmp_path) == []
+    # Repeats in a later batch, then a message that moves the watermark past both windows.
+    put(spark, f"{tmp_path}/topic", [click(1, "10:00"), click(3, "10:05"), click(4, "10:04")], 4)
+    run_windows(spark, tmp_path)
+    put(spark, f"{tmp_path}/topic", [click(5, "10:30"), "junk"], 7)
+    run_windows(spark, tmp_path)
+    assert window_totals(spark, tmp_path) == [("10:00", 3), ("10:05", 1)]
+
+
+def test_late_rows_are_kept(spark, tmp_path):
+    def run():
+        click_streams.start_late_rows(
+            read_topic_files(spark, f"{tmp_path}/topic", 1), f"{tmp_path}/late", f"{tmp_path}/checkpoint", availableNow=True
+        ).awaitTermination()
+        run_valid(spark, tmp_path)
+
+    put(spark, f"{tmp_path}/topic", [click(1, "10:00"), click(2, "10:20"), "junk"])
+    run()
+    put(spark, f"{tmp_path}/topic", [click(3, "10:15"), click(4, "10:05"), click(1, "10:00"), click(5, "10:10")], 3)
+    run()
+    late = click_streams.late_rows(spark, f"{tmp_path}/late")
+    assert sorted(r.id for r in late.collect()) == [1, 4, 5] and {r.error_message for r in late.collect()} == {"older than the watermark"}
+    # The copy of a message that was in time is no loss.
+    events = read_batches(spark, f"{tmp_path}/events", EVENTS)
+    assert sorted(r.id for r in click_streams.late_rows(spark, f"{tmp_path}/late", events).collect()) == [4, 5]
+    run()
+    assert late.count() == 3
+
+
+def test_a_missing_offset_stops_the_batch(spark, tmp_path):
+    def run():
+        click_streams.start_offsets(
+            read_topic_files(spark, f"{tmp_path}/topic", 1), f"{tmp_path}/offsets", f"{tmp_path}/checkpoint", availableNow=True
+        ).awaitTermination()
+
+    put(spark, f"{tmp_path}/topic", ["a", "b", "c"])
+    run()
+    put(spark, f"{tmp_path}/topic", ["c", "d"], 2)  # delivered again
+    run()
+    put(spark, f"{tmp_path}/topic", ["f"], 5)
+    with pytest.raises(StreamingQueryException, match="clickstream-events/0: 4 to 4"):
+        run()
+    with pytest.raises(StreamingQueryException, match="4 to 4"):
+        run()
 
 
 def test_window_counts(spark, tmp_path):
@@ -175,7 +223,7 @@ def test_window_counts(spark, tmp_path):
     def run():
         stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
         query = (
-            click_streams.window_counts(stream)
+            click_streams.window_counts(stream.withWatermark("event_timestamp", clicks.WATERMARK))
             .writeStream.outputMode("append")
             .format("parquet")
             .option("path", f"{tmp_path}/out")
@@ -232,13 +280,20 @@ def test_runner_on_archived_topics(spark, tmp_path):
 
     archive = f"{tmp_path}/archive"
     put(spark, f"{archive}/clickstream-events", [click(1, "10:00"), "junk"])
+    put(spark, f"{archive}/clickstream-events", [click(2, "10:30")], 2)
     for feed in CHANGE_FEEDS.values():
         put(spark, f"{archive}/{feed.topic}", [json.dumps({"after": {feed.key: 5}, "op": "c"})])
     for stream in ("clicks", "changes"):
-        arguments = [stream, "--root", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/cp", "--archive", archive, "--once"]
+        arguments = [stream, "--root", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/cp", "--archive", archive, "--once", "--contiguous", "--windows"]
         for query in start(spark, parse(arguments)):
             query.awaitTermination()
-    assert read_batches(spark, f"{tmp_path}/out/dwd_clickstream_events", EVENTS).count() == 1
+    assert read_batches(spark, f"{tmp_path}/out/dwd_clickstream_events", EVENTS).count() == 2
+    put(spark, f"{archive}/clickstream-events", [click(3, "09:00")], 3)
+    for query in start(spark, parse(["clicks", *arguments[1:]])):
+        query.awaitTermination()
+    events = read_batches(spark, f"{tmp_path}/out/dwd_clickstream_events", EVENTS)
+    late = click_streams.late_rows(spark, f"{tmp_path}/out/clickstream_late_rows", events)
+    assert events.count() == 2 and [r.id for r in late.collect()] == [3]
     assert read_batches(spark, f"{tmp_path}/out/ods_clickstream_deadletter", DEAD_LETTERS).count() == 1
     for feed in CHANGE_FEEDS.values():
         table = change_streams.keyed_table(spark, f"{tmp_path}/out", feed)
