@@ -43,6 +43,8 @@ CUT = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
 BLOCK_CHARS = 1_000_000
 ENCODE_CHARS = 100_000
 KNOWN_CHARS = 6_000_000
+#: Characters of documents whose units are learnt together.
+AHEAD_CHARS = 500_000
 #: Characters of a string of units that is encoded as one.
 STRING_CHARS = 2_000
 #: Links of a group from which equal pairs are put together at once.
@@ -131,19 +133,14 @@ class Aligner:
         kept, ids_a, ids_b, base, size = [], [], [], [], 0
         coarse_a, coarse_b = [], []
         for place, (text, a, b) in enumerate(zip(texts, encoded, protos)):
-            data = (" " + text).encode()
-            own_a, pieces = a.ids, b.pieces
-            own_b = [p.id for p in pieces]
+            data, pieces = (" " + text).encode(), b.pieces
+            own_a, own_b = a.ids, [p.id for p in pieces]
             if not text or b"".join([self.bytes_a[i] for i in own_a]) != data or b"".join([self.bytes_b[i] for i in own_b]) != data:
                 continue
-            # Ends that the libraries name, where no later token reaches back over them.
-            offsets = np.array(a.offsets)
-            ends = offsets[np.append(offsets[1:, 0] >= offsets[:-1, 1], True), 1]
-            if len(data) != len(text) + 1:
-                ends = _byte_places(" " + text)[ends]
-            spans = np.array([(p.begin, p.end) for p in pieces]) + 1
-            coarse_a.append(ends + size)
-            coarse_b.append(spans[np.append(spans[1:, 0] >= spans[:-1, 1], True), 1] + size)
+            # Ends that the libraries name: characters of A, bytes of the text without the space of B.
+            ends = np.fromiter([end for _, end in a.offsets], np.int64, len(own_a))
+            coarse_a.append((ends if len(data) == len(text) + 1 else _byte_places(" " + text)[ends]) + size)
+            coarse_b.append(np.fromiter([p.end for p in pieces], np.int64, len(own_b)) + (1 + size))
             kept.append(place)
             ids_a += own_a
             ids_b += own_b
@@ -153,14 +150,20 @@ class Aligner:
             return kept, np.empty(0, np.int64), None
         a, b = np.array(ids_a), np.array(ids_b)
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        cuts = np.intersect1d(np.concatenate(coarse_a), np.concatenate(coarse_b))
-        # Coarse cuts are ends of decoded tokens; what lies between two of them is refined where both sides have
-        # several tokens.
-        cuts = cuts[np.isin(cuts, ends_a) & np.isin(cuts, ends_b)]
+        # Coarse cuts; an end inside a character or among byte pieces is none if no decoded token ends there.
+        cuts = np.concatenate(coarse_a)
+        cuts = cuts[_among(cuts, np.concatenate(coarse_b)) & _among(cuts, ends_a) & _among(cuts, ends_b)]
+        cuts = cuts[np.append(cuts[1:] != cuts[:-1], True)]
+        # What lies between two of them is refined by decoded bytes where both sides have several tokens.
         in_a, in_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
         open_ = (np.bincount(in_a, minlength=len(cuts) + 1) > 1) & (np.bincount(in_b, minlength=len(cuts) + 1) > 1)
-        cuts = np.union1d(cuts, np.intersect1d(ends_a[open_[in_a]], ends_b[open_[in_b]]))
-        return kept, np.array(base), Aligned(cuts, a, b, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b))
+        refined, against = ends_a[open_[in_a]], ends_b[open_[in_b]]
+        if len(refined):
+            refined = refined[_among(refined, against)]
+            cuts = np.concatenate([cuts, refined[~_among(refined, cuts)]])
+            cuts.sort()
+            in_a, in_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        return kept, np.array(base), Aligned(cuts, a, b, in_a, in_b)
 
     def groups(self, text: str | None) -> list[tuple[int, int, list[int], list[int]]]:
         """Groups (start, end, ids of A, ids of B) of the bytes of space+text; empty where it has no tokens."""
@@ -172,6 +175,13 @@ class Aligner:
         return [(start, end, a.tolist(), b.tolist()) for start, end, a, b in zip(starts, found.cuts.tolist(), *sides)]
 
 
+def _among(values: np.ndarray, sorted_ones: np.ndarray) -> np.ndarray:
+    """Which values are among those of an ascending array."""
+    if not len(sorted_ones):
+        return np.zeros(len(values), bool)
+    return sorted_ones[np.minimum(np.searchsorted(sorted_ones, values), len(sorted_ones) - 1)] == values
+
+
 def _byte_places(text: str) -> np.ndarray:
     """Byte at which each character begins, and where the last one ends."""
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -250,7 +260,7 @@ class Units:
     def _add(self, strings: list[list[str]], ends: np.ndarray, found: Aligned) -> list[list[str]]:
         units = [unit for string in strings for unit in string]
         unit_ends = np.cumsum([len(unit.encode()) + 1 for unit in units])
-        if not np.isin(unit_ends, found.cuts).all():  # something is joined across units after all
+        if not _among(unit_ends, found.cuts).all():  # something is joined across units after all
             if all(len(string) == 1 for string in strings):
                 raise ValueError("the bytes of a text and of its tokens differ")
             return strings
@@ -303,16 +313,27 @@ def _summed(keys: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarr
 _NOTHING = (np.zeros(4, np.int64), "", *_summed([], []))
 
 
-def _document(text: str | None, known: Units):
-    """Figures, digest of the groups, linked pairs and how often each is linked."""
+def _split(texts: list[str | None], known: Units) -> list[list[str] | None]:
+    """Units of those texts that are not split in blocks, all learnt at once."""
+    if known.chars > KNOWN_CHARS:
+        known.clear()
+    short = [CUT.split(t) if t and len(t) <= BLOCK_CHARS and known.aligner.cuts else None for t in texts]
+    new = {unit: None for units in short if units for unit in units if unit not in known.number}
+    known.learn(list(new))
+    return short
+
+
+def _document(text: str | None, known: Units, split: list[str] | None = None):
+    """Figures, digest of the groups, linked pairs and how often each is linked. ``split`` are units of the text
+    that are known already."""
     if not text:
         return _NOTHING
     figures, digest, pairs, times, more = np.zeros(4, np.int64), hashlib.sha256(), [], [], False
-    for units in _blocks(text) if known.aligner.cuts else [[text]]:
-        if known.chars > KNOWN_CHARS:
+    for units in [split] if split else _blocks(text) if known.aligner.cuts else [[text]]:
+        if known.chars > KNOWN_CHARS and not split:
             known.clear()
         counts = collections.Counter(units)
-        if new := [u for u in counts if u not in known.number]:
+        if not split and (new := [u for u in counts if u not in known.number]):
             known.learn(new)
         texts = list(map(known.text.__getitem__, units))
         if None in texts:
@@ -380,18 +401,33 @@ def _batch(number: int, ids: list, found: list) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([number]), *empty, *lists], schema=_STAGE_ARROW)
 
 
+def _ahead(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
+    """Ids and texts of some documents at a time."""
+    ids, texts, chars = [], [], 0
+    for id_, text in zip(batch["id"], batch["text"]):
+        ids.append(id_.as_py())
+        texts.append(text.as_py())
+        chars += len(texts[-1] or "")
+        if chars >= AHEAD_CHARS:
+            yield ids, texts
+            ids, texts, chars = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def _encoded(batches, model_a: str, model_b: str) -> Iterator[pa.RecordBatch]:
     known, ids, found, size = None, [], [], 0
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         known = known or Units(Aligner(model_a, model_b))
-        for id_, text in zip(batch["id"], batch["text"]):
-            ids.append(id_.as_py())
-            found.append(_document(text.as_py(), known))
-            size += len(found[-1][2])
-            if size >= BATCH_PAIRS or len(ids) >= BATCH_DOCS:
-                yield from _batch(number, ids, found)
-                number, ids, found, size = number + 1, [], [], 0
+        for some_ids, texts in _ahead(batch):
+            for id_, text, split in zip(some_ids, texts, _split(texts, known)):
+                ids.append(id_)
+                found.append(_document(text, known, split))
+                size += len(found[-1][2])
+                if size >= BATCH_PAIRS or len(ids) >= BATCH_DOCS:
+                    yield from _batch(number, ids, found)
+                    number, ids, found, size = number + 1, [], [], 0
     if ids:
         yield from _batch(number, ids, found)
 

@@ -105,7 +105,7 @@ def test_units_give_the_groups_of_whole_texts(aligner):
 @pytest.mark.parametrize("small", [False, True])
 def test_same_as_brute_force(spark, monkeypatch, aligner, small):
     if small:  # many batches, forgotten units, long texts in blocks
-        for name, value in {"BLOCK_CHARS": 50, "KNOWN_CHARS": 200, "ENCODE_CHARS": 30, "STRING_CHARS": 20, "LARGE_GROUP": 3, "BATCH_PAIRS": 300, "BATCH_DOCS": 5}.items():
+        for name, value in {"BLOCK_CHARS": 50, "KNOWN_CHARS": 200, "ENCODE_CHARS": 30, "STRING_CHARS": 20, "LARGE_GROUP": 3, "BATCH_PAIRS": 300, "BATCH_DOCS": 5, "AHEAD_CHARS": 500}.items():
             monkeypatch.setattr(A, name, value)
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").limit(60)
     docs = docs.union(spark.createDataFrame([(10_000 + n, t) for n, t in enumerate(ODD_TEXTS)], "doc_id long, text string"))
