@@ -2,9 +2,11 @@
 
 Figures of every text are summed up per (language, source) in a mergeable sketch: counts per
 bucket of a log-linear scale, so that adding two sketches is adding their counts and any quantile
-is known within 1/32 of its value. Cutoffs are fences at the quartiles plus a multiple of their
-distance; the sketch of a source with few rows is replaced by that of its whole language. The
-cutoffs are then joined to the figures. Only built-in expressions are used.
+is known within 1/32 of its value. Only texts that pass the base rule are summed up, so cutoffs tell
+what is unusual among them. A cutoff stands a little outside a high (and for some figures a low)
+quantile of the source, whose sketch is merged with that of its language, which weighs as much as
+``PRIOR`` rows: a source with few rows leans on its language, one with many goes its own way, and nothing
+switches in between. Cutoffs are then joined to the figures. Only built-in expressions are used.
 """
 
 from __future__ import annotations
@@ -15,16 +17,15 @@ from pyspark.sql import functions as F
 from odsflow.llm.common import table, written
 
 WINDOW = 5
-#: A source with fewer rows takes the cutoffs of its language.
-LEAST_ROWS = 100
-#: Fences stand this many quartile distances, plus the slack of the figure, outside the quartiles.
-SPREAD = 3
-#: Figure: (slack, whether low values are cut off too). All are thousandths.
+#: Rows of a source that its language is worth.
+PRIOR = 10
+#: Figure: (percent of the high quantile, percent of the low one or None, distance of the cutoff from it). Figures
+#: are thousandths per word. The base rule cuts ``repeated`` at 200.
 FIGURES = {
-    "word_length": (1000, True),
-    "symbols": (100, False),
-    "dup_lines": (200, False),
-    "repeated": (200, False),
+    "word_length": (95, 5, 1000),
+    "symbols": (90, None, 50),
+    "dup_lines": (95, None, 5),
+    "repeated": (95, None, 80),
 }
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -125,9 +126,9 @@ def merge(sketches: DataFrame, groups: list[str]) -> DataFrame:
     return sketches.groupBy(*groups, "figure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group and figure: rows, and the first and third quartile (the smallest bucket that
-    holds a quarter, or three quarters, of the rows at or below it)."""
+def quantiles(sketches: DataFrame, groups: list[str], percents: list[int]) -> DataFrame:
+    """Per group and figure: for each percentage ``p`` as ``q<p>`` the smallest bucket that holds this share of the
+    rows at or below it."""
     by = Window.partitionBy(*groups, "figure")
     counted = sketches.withColumns(
         {
@@ -135,31 +136,42 @@ def quartiles(sketches: DataFrame, groups: list[str]) -> DataFrame:
             "rows": F.sum("n").over(by),
         }
     )
-    first = lambda quarter: F.min(F.when(4 * F.col("upto") >= quarter * F.col("rows"), F.col("bucket")))
-    return counted.groupBy(*groups, "figure", "rows").agg(
-        bucket_value(first(1)).alias("q1"), bucket_value(first(3)).alias("q3")
-    )
+    first = lambda p: F.min(F.when(100 * F.col("upto") >= p * F.col("rows"), F.col("bucket")))
+    return counted.groupBy(*groups, "figure").agg(*[bucket_value(first(p)).alias(f"q{p}") for p in percents])
+
+
+def with_prior(fine: DataFrame) -> DataFrame:
+    """Sketches per (lang, source), each merged with its language's, which weighs as much as ``PRIOR`` rows.
+
+    Counts become weights: own ones times the rows of the language, plus ``PRIOR`` times the language's.
+    """
+    number = lambda column: F.col(column).cast("decimal(38,0)")
+    wide = merge(fine, ["lang"]).select(F.col("lang").alias("l"), F.col("figure").alias("f"), F.col("bucket").alias("b"), number("n").alias("m"))
+    size = wide.groupBy("l", "f").agg(F.sum("m").alias("size"))
+    same = F.col("lang").eqNullSafe(F.col("l")) & (F.col("figure") == F.col("f"))
+    weight = lambda w: w.cast("decimal(38,0)").alias("n")
+    own = fine.join(size, same).select("lang", "source", "figure", "bucket", weight(number("n") * F.col("size").cast("decimal(19,0)")))
+    groups = fine.select("lang", "source", "figure").distinct()
+    prior = groups.join(wide, same).select("lang", "source", "figure", F.col("b").alias("bucket"), weight(F.col("m") * PRIOR))
+    return merge(own.unionByName(prior), ["lang", "source"])
 
 
 def fences(df: DataFrame) -> DataFrame:
     """Rows (lang, source, low_..., high_...): cutoffs of every language and source of ``df``."""
-    fine = sketch(df, ["lang", "source"], list(FIGURES))
-    own = quartiles(fine, ["lang", "source"])
-    wide = quartiles(merge(fine, ["lang"]), ["lang"]).select(
-        F.col("lang").alias("l"), F.col("figure").alias("f"), F.col("q1").alias("w1"), F.col("q3").alias("w3")
-    )
-    both = own.join(wide, own["lang"].eqNullSafe(F.col("l")) & (own["figure"] == F.col("f")))
-    few = F.col("rows") < LEAST_ROWS
-    q1, q3 = F.when(few, F.col("w1")).otherwise(F.col("q1")), F.when(few, F.col("w3")).otherwise(F.col("q3"))
-    both = both.select("lang", "source", "figure", q1.alias("q1"), q3.alias("q3"))
+    mixed = with_prior(sketch(df, ["lang", "source"], list(FIGURES)))
+    percents = sorted({p for high, low, _ in FIGURES.values() for p in (high, low) if p is not None})
+    found = quantiles(mixed, ["lang", "source"], percents)
     columns = []
-    for figure, (slack, low) in FIGURES.items():
-        span = SPREAD * (F.col("q3") - F.col("q1")) + slack
+    for figure, (high, low, slack) in FIGURES.items():
         mine = F.col("figure") == figure
-        columns.append(F.max(F.when(mine, F.col("q3") + span)).alias(f"high_{figure}"))
-        if low:
-            columns.append(F.max(F.when(mine, F.col("q1") - span)).alias(f"low_{figure}"))
-    return both.groupBy("lang", "source").agg(*columns)
+        columns.append(F.max(F.when(mine, F.col(f"q{high}") + slack)).alias(f"high_{figure}"))
+        if low is not None:
+            columns.append(F.max(F.when(mine, F.col(f"q{low}") - slack)).alias(f"low_{figure}"))
+    return found.groupBy("lang", "source").agg(*columns)
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
 def adaptive_rules(docs: DataFrame, ids: list[str]) -> DataFrame:
@@ -167,25 +179,24 @@ def adaptive_rules(docs: DataFrame, ids: list[str]) -> DataFrame:
 
     ``docs`` needs ``text``, ``lang`` and ``source``; null is a language or source of its own.
     A text that fails the base rule is dropped; any other is kept when all its figures are inside
-    the fences of its language and source. Repeated rows count as often as they occur.
+    the cutoffs of its language and source. Repeated rows count as often as they occur.
     """
     slim = docs.select(*ids, "lang", "source", "text")
     known = written(rates(figures(slim)), "quality-figures")
-    cut = fences(known).withColumnsRenamed({"lang": "cut_lang", "source": "cut_source"})
+    cut = fences(known.where(~base_failed())).withColumnsRenamed({"lang": "cut_lang", "source": "cut_source"})
     joined = known.join(
         cut, known["lang"].eqNullSafe(cut["cut_lang"]) & known["source"].eqNullSafe(cut["cut_source"]), "left"
     )
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     inside = F.lit(True)
-    for figure, (_, low) in FIGURES.items():
+    for figure, (_, low, _) in FIGURES.items():
         inside = inside & (F.col(figure) <= F.col(f"high_{figure}"))
-        if low:
+        if low is not None:
             inside = inside & (F.col(figure) >= F.col(f"low_{figure}"))
-    return joined.withColumns({"base_failed": failed, "kept": ~failed & inside}).drop("cut_lang", "cut_source")
+    return joined.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & inside}).drop("cut_lang", "cut_source")
 
 
 def op6_adaptive_thresholds(spark, sf_dir: str) -> DataFrame:
-    """Every row of ``documents`` under the base rule and the fences of its language and source."""
+    """Every row of ``documents`` under the base rule and the cutoffs of its language and source."""
     return adaptive_rules(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -195,7 +206,9 @@ def _sql() -> str:
     shift = "greatest(length(bin({0})) - 5, 0)"
     exponent = "greatest({0} // 16 - 1, 0)"
     value = f"(({{0}} - 16 * {exponent}) * (1::BIGINT << {exponent}) + (1::BIGINT << {exponent}) // 2)"
-    unpivot = " UNION ALL ".join(f"SELECT lang, source, '{f}' AS figure, {f} AS v FROM rated" for f in FIGURES)
+    passed = "NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)"
+    unpivot = " UNION ALL ".join(f"SELECT lang, source, '{f}' AS figure, {f} AS v FROM rated WHERE {passed}" for f in FIGURES)
+    percents = sorted({p for high, low, _ in FIGURES.values() for p in (high, low) if p is not None})
     return f"""
 WITH split AS (
     SELECT doc_id, lang, source, coalesce(text, '') AS text,
@@ -222,23 +235,29 @@ rated AS (
         CASE WHEN n_words = 0 THEN 0 ELSE 1000 * n_repeat_words // n_words END AS repeated
     FROM counted),
 long AS ({unpivot}),
-bucketed AS (SELECT lang, source, figure, 16 * {shift.format("v")} + (v >> {shift.format("v")}) AS b FROM long),
 own AS (
-    SELECT lang, source, figure, count(*) AS n, quantile_disc(b, 0.25) AS b1, quantile_disc(b, 0.75) AS b3
-    FROM bucketed GROUP BY ALL),
-wide AS (SELECT lang, figure, quantile_disc(b, 0.25) AS b1, quantile_disc(b, 0.75) AS b3 FROM bucketed GROUP BY ALL),
-chosen AS (
-    SELECT own.lang, own.source, own.figure, CASE WHEN own.n < {LEAST_ROWS} THEN wide.b1 ELSE own.b1 END AS b1,
-        CASE WHEN own.n < {LEAST_ROWS} THEN wide.b3 ELSE own.b3 END AS b3
-    FROM own JOIN wide ON own.lang IS NOT DISTINCT FROM wide.lang AND own.figure = wide.figure),
-cut AS (
-    SELECT lang, source, figure, {value.format("b1")} AS q1, {value.format("b3")} AS q3 FROM chosen),
+    SELECT lang, source, figure, 16 * {shift.format("v")} + (v >> {shift.format("v")}) AS b, count(*)::HUGEINT AS n
+    FROM long GROUP BY ALL),
+wide AS (SELECT lang, figure, b, sum(n)::HUGEINT AS n FROM own GROUP BY ALL),
+size AS (SELECT lang, figure, sum(n)::HUGEINT AS n FROM wide GROUP BY ALL),
+mixed AS (
+    SELECT o.lang, o.source, o.figure, o.b, o.n * s.n AS w FROM own o JOIN size s ON o.lang IS NOT DISTINCT FROM s.lang AND o.figure = s.figure
+    UNION ALL
+    SELECT g.lang, g.source, g.figure, w.b, {PRIOR} * w.n FROM (SELECT DISTINCT lang, source, figure FROM own) g
+    JOIN wide w ON g.lang IS NOT DISTINCT FROM w.lang AND g.figure = w.figure),
+summed AS (SELECT lang, source, figure, b, sum(w)::HUGEINT AS w FROM mixed GROUP BY ALL),
+running AS (
+    SELECT *, sum(w) OVER (PARTITION BY lang, source, figure ORDER BY b) AS upto, sum(w) OVER (PARTITION BY lang, source, figure) AS total
+    FROM summed),
+ranked AS (
+    SELECT lang, source, figure, {", ".join(f"min(b) FILTER (100 * upto >= {p} * total) AS b{p}" for p in percents)}
+    FROM running GROUP BY ALL),
+cut AS (SELECT lang, source, figure, {", ".join(value.format(f"b{p}") + f" AS q{p}" for p in percents)} FROM ranked),
 judged AS (
     SELECT r.row, bool_and(CASE figure {" ".join(
-        f"WHEN '{f}' THEN r.{f} <= q3 + {SPREAD} * (q3 - q1) + {slack}"
-        + (f" AND r.{f} >= q1 - {SPREAD} * (q3 - q1) - {slack}" if low else "")
-        for f, (slack, low) in FIGURES.items())} END) AS inside
-    FROM rated AS r JOIN cut ON r.lang IS NOT DISTINCT FROM cut.lang AND r.source IS NOT DISTINCT FROM cut.source
+        f"WHEN '{f}' THEN r.{f} <= q{high} + {slack}" + (f" AND r.{f} >= q{low} - {slack}" if low is not None else "")
+        for f, (high, low, slack) in FIGURES.items())} END) AS inside
+    FROM rated AS r LEFT JOIN cut ON r.lang IS NOT DISTINCT FROM cut.lang AND r.source IS NOT DISTINCT FROM cut.source
     GROUP BY r.row)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
