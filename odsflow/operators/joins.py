@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Bytes in memory for a byte of compressed columnar files, as an upper estimate; a hint overrides Spark's own check of
+#: the size, so it has to be on the safe side.
+EXPANSION = 8
+
+
 def scan_bytes(df: DataFrame) -> int | None:
     """Bytes of all files and local rows below ``df``, from the statistics of its plan.
 
@@ -20,11 +25,11 @@ def scan_bytes(df: DataFrame) -> int | None:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df`` is known to be under ``spark.sql.autoBroadcastJoinThreshold``."""
+    """Whether ``df`` is known to be under ``spark.sql.autoBroadcastJoinThreshold`` once it is read."""
     size = scan_bytes(df)
     if size is None:
         return False
-    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size * EXPANSION <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:

@@ -196,7 +196,7 @@ def hourly_ids(items: DataFrame) -> DataFrame:
 def roll_up(sums: DataFrame, ids: DataFrame, period: str | None) -> DataFrame:
     """All measures of the summary by ``day``, ``month`` or any other unit of time, or in total, from the two
     hourly tables alone. Sums are added up and bitmaps merged, so distinct counts are exact."""
-    start = F.lit(None).cast("timestamp") if period is None else F.date_trunc(period, F.col("order_hour")).alias("period")
+    start = (F.lit(None).cast("timestamp") if period is None else F.date_trunc(period, F.col("order_hour"))).alias("period")
     counts = distinct_counts(ids.select(start, "what", "bucket", "bits"), ["period"], list(DISTINCT))
     counts = counts.withColumnRenamed("period", "of")
     added = sums.groupBy(start.alias("period")).agg(*[F.sum(m).alias(m) for m in ADDITIVE])

@@ -15,8 +15,8 @@ from odsflow.registry.base import add
 from odsflow.schemas import CHANGE_FEEDS, EVENTS
 from odsflow.sinks import paths, refresh
 from odsflow.sinks.append import read_batches
-from odsflow.sinks.layout import ColocatedPair, drop_expired_batches
-from odsflow.sources.snapshots import read_csv
+from odsflow.sinks.layout import ColocatedPair, drop_expired_batches, write_clustered
+from odsflow.sources.snapshots import read_csv, rejected_csv
 from odsflow.sources.topics import read_topic_files
 from odsflow.streaming import changes as change_streams
 from odsflow.streaming import clicks as click_streams
@@ -371,6 +371,36 @@ def _(t):
     return read_csv(t.spark, path, "distribution_centers").select("id", "name", "latitude", "longitude")
 
 
+@add(
+    "csv_quarantine",
+    """SELECT order_id, user_id, status, NULL::VARCHAR AS raw_message FROM fact_orders WHERE order_id % 7 <> 0
+       UNION ALL SELECT NULL, NULL, NULL, order_id || ',u' || user_id || ',' || status FROM fact_orders WHERE order_id % 7 = 0""",
+)
+def _(t):
+    # Every seventh order has a word for a user.
+    path = paths.scratch(t.spark, "orders-csv")
+    user = F.when(F.col("order_id") % 7 == 0, F.concat(F.lit("u"), F.col("user_id"))).otherwise(F.col("user_id").cast("string"))
+    t.orders("order_id", "user_id", "status").withColumn("user_id", user).write.option("header", "true").csv(path)
+    good = read_csv(t.spark, path, "orders").select("order_id", "user_id", "status")
+    bad = rejected_csv(t.spark, path, "orders").select("raw_message")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@add(
+    "clustered_lookup",
+    """SELECT event_id, session_id, event_timestamp FROM click_events
+       WHERE session_id = (SELECT min(session_id) FROM click_events)
+          OR event_timestamp >= (SELECT max(event_timestamp) FROM click_events) - to_hours(6)""",
+)
+def _(t):
+    path = f"{paths.scratch(t.spark, 'clustered')}/events"
+    write_clustered(t.events().select("event_id", "session_id", "event_timestamp"), path, ("session_id", "event_timestamp"), 16)
+    events = t.spark.read.parquet(path)
+    session = events.agg(F.min("session_id")).scalar()
+    newest = events.agg(F.max("event_timestamp") - F.expr("INTERVAL 6 HOURS")).scalar()
+    return events.where((F.col("session_id") == session) | (F.col("event_timestamp") >= newest))
+
+
 @add("mv_refresh", "SELECT * FROM session_summary")
 def _(t):
     path = paths.scratch(t.spark, "sessions")
