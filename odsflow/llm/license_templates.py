@@ -263,8 +263,7 @@ def scan(docs: DataFrame, keep: list[str], phrases: dict[str, str] = PHRASES, te
                 counts.append(len(split))
                 bases.append([{"label": a, "start": b, "end": c} for a, b, c in sorted(base, key=lambda p: (p[1], p[0]))])
                 spans = sorted((begin, label[1:], end) for (label, end), begin in full.items())
-                outer = [s for s in spans if not any(o != s and o[1] == s[1] and o[0] <= s[0] and s[2] <= o[2] for o in spans)]
-                fulls.append([{"label": b, "start": a, "end": c} for a, b, c in outer])
+                fulls.append([{"label": b, "start": a, "end": c} for a, b, c in outermost(spans)])
             kept = [batch.column(c) for c in batch.schema.names if c in keep]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(counts, pa.int64()), pa.array(bases, arrow), pa.array(fulls, arrow)],
@@ -274,6 +273,17 @@ def scan(docs: DataFrame, keep: list[str], phrases: dict[str, str] = PHRASES, te
     return frame.mapInArrow(run, schema)
 
 
+def outermost(spans: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+    """Different (start, label, end) without those that lie inside another of their label, in order."""
+    kept, reach = [], {}
+    for start, label, end in sorted(spans, key=lambda s: (s[0], -s[2])):
+        # All of the label that begin no later are done; the longest of them decides.
+        if end > reach.get(label, -1):
+            kept.append((start, label, end))
+            reach[label] = end
+    return sorted(kept)
+
+
 def op2_license_templates(spark, sf_dir: str) -> DataFrame:
     """Base phrases and accepted templates of every row of ``documents``.
 

@@ -26,6 +26,8 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A pre-token depends on so many characters after its end at most.
 AHEAD = 2
+#: Pre-tokens of a leaf before the tree is dealt out anew.
+LEAF = 32
 #: Different pre-tokens whose counts a task remembers.
 KNOWN = 500_000
 
@@ -60,13 +62,19 @@ class Counter:
 
 class TokenTree:
     """Segment tree over the pre-tokens of one text. A leaf holds the characters and tokens of one or
-    more pre-tokens, after edits also none."""
+    more pre-tokens, after edits also none. When a leaf gets more than ``LEAF``, all are dealt out anew;
+    their counts are known, so nothing is encoded for that."""
 
     def __init__(self, text: str, counter: Counter):
         self.text, self.counter = text, counter
         pieces = counter.split.findall(text)
+        self._deal([(len(p), n) for p, n in zip(pieces, counter.tokens(pieces))])
+        self.encoded = 0
+
+    def _deal(self, pieces: list[tuple[int, int]]) -> None:
+        """A leaf for each pre-token."""
         self.width = 1 << max(0, (len(pieces) - 1).bit_length())
-        self.leaves: list[list[tuple[int, int]]] = [[(len(p), n)] for p, n in zip(pieces, counter.tokens(pieces))]
+        self.leaves: list[list[tuple[int, int]]] = [[p] for p in pieces]
         self.leaves += [[] for _ in range(self.width - len(pieces))]
         sums = np.zeros((2 * self.width, 2), np.int64)
         for i, leaf in enumerate(self.leaves):
@@ -77,7 +85,6 @@ class TokenTree:
             sums[level // 2 : level] = sums[level : 2 * level : 2] + sums[level + 1 : 2 * level : 2]
             level //= 2
         self.chars, self.sums = sums[:, 0].tolist(), sums[:, 1].tolist()
-        self.encoded = 0
 
     @property
     def total(self) -> int:
@@ -131,11 +138,19 @@ class TokenTree:
         counts = self.counter.tokens(pieces)
         self.encoded += len(pieces)
         self.text = new
-        kept = self.leaves[first] if leaf == first else []
-        self._set(first, [*((len(p), n) for p, n in zip(pieces, counts)), *kept])
-        for other in range(first + 1, leaf):
-            if self.leaves[other]:
-                self._set(other, [])
+        known = [(len(p), n) for p, n in zip(pieces, counts)]
+        if leaf == first:
+            self._set(first, [*known, *self.leaves[first]])
+        else:
+            # As many leaves as before take the new pre-tokens, so that edits side by side do not pile up in one.
+            places, taken = leaf - first, 0
+            for other in range(first, leaf):
+                upto = len(known) * (other - first + 1) // places
+                if known[taken:upto] or self.leaves[other]:
+                    self._set(other, known[taken:upto])
+                taken = upto
+        if len(self.leaves[first]) > LEAF or len(self.leaves[max(first, leaf - 1)]) > LEAF:
+            self._deal([piece for pieces in self.leaves for piece in pieces])
 
 
 def redactions(text: str) -> list[tuple[int, int, str]]:

@@ -8,7 +8,7 @@ import pytest
 from llm_fixtures import none, odd  # noqa: F401
 
 from odsflow.llm.common import words
-from odsflow.llm.license_templates import TEMPLATES, Automaton, _pattern, parse, scan
+from odsflow.llm.license_templates import TEMPLATES, Automaton, _pattern, outermost, parse, scan
 
 
 def accepted(templates, text):
@@ -59,3 +59,16 @@ def test_odd_rows(spark, odd, none):
     last = [r for r in found if r.doc_id == 9][0]
     assert (last.lt_words, [tuple(p) for p in last.lt_phrases], [tuple(p) for p in last.lt_templates]) == (5, [("mit", 3, 5)], [("mit-notice", 0, 5)])
     assert sum(len(r.lt_templates) for r in found) == 1
+
+
+def test_outermost_spans_of_very_many():
+    import random
+    import time
+
+    rng = random.Random(4)
+    spans = list({(a, rng.choice("xy"), a + rng.randrange(1, 30)) for a in (rng.randrange(300) for _ in range(400))})
+    slow = [s for s in spans if not any(o != s and o[1] == s[1] and o[0] <= s[0] and s[2] <= o[2] for o in spans)]
+    assert outermost(spans) == sorted(slow)
+    start = time.process_time()
+    assert len(outermost([(20 * i, "mit", 20 * i + 18) for i in range(100_000)])) == 100_000
+    assert time.process_time() - start < 5

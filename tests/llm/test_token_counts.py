@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from conftest import DATA
@@ -38,6 +39,23 @@ def test_an_edit_encodes_little():
         tree.replace(5, 10**9, "")
 
 
+@pytest.mark.parametrize("forward", [True, False])
+def test_thousands_of_adjacent_edits(forward):
+    counter, start = C.Counter(), time.process_time()
+    text = "ab, cd. " * 6000
+    tree = C.TokenTree(text, counter)
+    places = [10 * i for i in range(4800)]  # 4,800 edits side by side in 48,000 characters
+    for place in places if forward else reversed(places):
+        before = tree.encoded
+        tree.replace(place, place + 10, "Wx yz 12;;"[: 10 - place // 10 % 2] + "q" * (place // 10 % 2))
+        assert tree.encoded - before <= 2 * C.LEAF + 20
+    for place in range(3000):  # and at one place
+        tree.replace(100, 100, " in")
+    assert tree.total == len(counter.encoding.encode_ordinary(tree.text))
+    assert max(map(len, tree.leaves)) <= C.LEAF + 20
+    assert time.process_time() - start < 60
+
+
 def test_query_against_counting_again(spark):
     encoding = C.Counter().encoding
     docs = {d.doc_id: d.text for d in read(spark, DATA, "documents").collect()}
