@@ -95,18 +95,31 @@ def minimal_hashes(shingles: np.ndarray) -> np.ndarray:
     return least.view(np.int32)
 
 
-def success(depth: int) -> float:
-    """Chance that one run of so many splits keeps a pair at the threshold together: a node passes
-    it on by its first token, and by a second one that every fourth node has."""
+def success(depth: int, share: float = SIMILARITY) -> float:
+    """Chance that one run of so many splits keeps a pair together that has this share of its minimal hashes in
+    common: a node passes it on by its first token, and by a second one that every fourth node has."""
     chance = 1.0
     for _ in range(depth):
-        chance = 1 - (1 - SIMILARITY * chance) * (1 - (1 / SIMILARITY - 1) * SIMILARITY * chance)
+        chance = 1 - (1 - share * chance) * (1 - (1 / SIMILARITY - 1) * share * chance)
     return chance
 
 
+def missed(number: int, depth: int = DEPTH) -> float:
+    """Chance that so many runs miss a pair at the threshold. All runs sample the same minimal hashes, of which
+    such a pair has a random number in common, so it is the mean over that number."""
+    total = 0.0
+    for same in range(HASHES + 1):
+        weight = math.comb(HASHES, same) * SIMILARITY**same * (1 - SIMILARITY) ** (HASHES - same)
+        total += weight * (1 - success(depth, same / HASHES)) ** number
+    return total
+
+
 def runs(recall: float = RECALL) -> int:
-    """Runs until a pair at the threshold is found with this chance."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - success(DEPTH)))
+    """Runs until a pair at the threshold is found with this chance, however often its nodes are split."""
+    number = 1
+    while missed(number) > 1 - recall:
+        number += 1
+    return number
 
 
 def _staged(docs: DataFrame) -> DataFrame:

@@ -115,3 +115,26 @@ def test_components(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     alone = {n for n in root if all(a == b for a, b in edges if n in (a, b))}
     assert found == {n: find(n) for n in root if n not in alone}
+
+
+def test_runs_reach_the_target_at_every_depth():
+    assert N.missed(N.runs()) <= 1 - N.RECALL < N.missed(N.runs() - 1)
+    assert all(N.missed(N.runs(), depth) <= 1 - N.RECALL for depth in range(1, N.DEPTH + 1))
+
+
+@pytest.mark.parametrize("common", [0, 300, 480])
+def test_recall_at_the_threshold_in_crowded_nodes(spark, monkeypatch, common):
+    """Pairs of a similarity just over 0.8; all texts share wording, and nodes are split down to the last depth."""
+    monkeypatch.setattr(N, "LEAF", 8)
+    rng = random.Random(common)
+    shared = [f"c{i}" for i in range(common)]
+    rows = []
+    for pair in range(250):
+        own = [f"p{pair}w{rng.randrange(10**9)}" for _ in range(700 - common)]
+        other = own[:100] + [f"q{pair}w{rng.randrange(10**9)}" for _ in range(73)] + own[173:]
+        rows += [(2 * pair, " ".join(shared + own)), (2 * pair + 1, " ".join(shared + other))]
+    a, b = (set(x.tolist()) for x in N.shingle_sets([rows[0][1], rows[1][1]]))
+    assert 0.8 <= len(a & b) / len(a | b) < 0.802
+    staged, classes = N.near_classes(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, rid string"))
+    found = classes.where("n_links > 0").count()
+    assert found >= 2 * 250 * 0.99
