@@ -39,6 +39,19 @@ def test_held_out_accuracy(spark):
     assert found.select(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0] > 0.85
 
 
+def test_held_out_ranking(spark):
+    """A constant has an area of 0.5 under the curve, and the accuracy of the larger class."""
+    data = "/root/testdata/sf0.01"
+    labels = table(spark, data, "labels")
+    found = Q.op3_line_crf(spark, data).join(labels, "doc_id").where("held_out AND quality IS NOT NULL").toPandas()
+    good, bad = found.score[found.quality == 1].to_numpy(), found.score[found.quality == 0].to_numpy()
+    assert len(good) > 30 and len(bad) > 5
+    area = (good[:, None] > bad[None, :]).mean() + (good[:, None] == bad[None, :]).mean() / 2
+    assert area > 0.97
+    majority = max(len(good), len(bad)) / len(found)
+    assert (found.predicted == found.quality).mean() > majority + (1 - majority) / 2
+
+
 def test_scores_do_not_depend_on_neighbours_in_the_batch():
     rng = np.random.default_rng(3)
     field = Q.Field(np.zeros(3 * Q.OWN), np.ones(3 * Q.OWN), rng.normal(size=3 * Q.OWN + 1), rng.normal(size=(2, 2)))
