@@ -1,11 +1,13 @@
 """Benchmark decontamination by an FM-index of every training shard.
 
-A shard is a run of words of the documents of one task. Words that no test text holds become one
+A shard is a run of words of the documents of one task: of one batch of rows, or of a million words
+if that is less, so that an index stays small. Words that no test text holds become one
 symbol, so the alphabet is that of the tests. The index keeps the Burrows-Wheeler transform of
 the shard in a wavelet matrix (one bit vector with rank counts per bit of the alphabet) and a
 sample of suffix positions. Test windows are searched backwards, all at once, by rank queries;
 occurrences are located by walking back to a sampled position; overlapping occurrences merge
-into removal spans. Nothing is shuffled: the tests go to the tasks, in blocks of bounded size.
+into removal spans. The tests go to the tasks, in blocks of bounded size, one after the other.
+With one block nothing is shuffled; with several, only rows that share something are.
 """
 
 from __future__ import annotations
@@ -19,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odsflow.llm.common import WORD_BYTES, slices, table
+from odsflow.llm.common import WORD_BYTES, slices, table, written
 
 WINDOW = 10
 #: Words of one index; longer inputs are cut with an overlap of a window.
 SHARD_WORDS = 1_000_000
 #: A suffix position is kept for each so many words of a run, and for the start of every run.
 SAMPLE = 16
-#: UTF-8 bytes of test texts that go to the tasks at once.
+#: UTF-8 bytes of test texts that go to the tasks at once; longer tests than a sixteenth are cut for it.
 BLOCK_BYTES = 16_000_000
 
 _ADDED = T.StructType(
@@ -287,6 +289,109 @@ def _joined(text: bytes, left: list, right: list) -> tuple[list[tuple[int, int]]
     return [tuple(r) for r in runs], sum(len(clean[a:b].split()) for a, b in runs)
 
 
+def pieces(text: bytes, limit: int) -> list[bytes]:
+    """A test text as itself, or as runs of words of about ``limit`` bytes that overlap by a window less
+    one word, so that every window stands whole in a run. A run has ten words even if they are longer."""
+    if len(text) <= limit:
+        return [text]
+    words, out, start = text.translate(WORD_BYTES).split(), [], 0
+    while True:
+        end, size = start, 0
+        while end < len(words) and (end - start < WINDOW or size < limit):
+            size += len(words[end]) + 1
+            end += 1
+        out.append(b" ".join(words[start:end]))
+        if end == len(words):
+            return out
+        start = end - WINDOW + 1
+
+
+def _cut_tests(tests: DataFrame, limit: int) -> DataFrame:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                runs = [run.decode() for run in pieces(text.encode(), limit)]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(runs)), pa.array(runs)], names=["id", "text"])
+
+    return tests.mapInArrow(cut, tests.schema).distinct()
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _columns(words: list, hits: list, items: list, spans: list) -> list[pa.Array]:
+    ranges = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], _SPANS)
+    return [pa.array(words, pa.int64()), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string())), ranges]
+
+
+def _in_one_block(docs: DataFrame, tests: DataFrame, keep: list[str]) -> DataFrame:
+    """All tests go to the tasks at once, and every row is read once."""
+    shared = docs.sparkSession.sparkContext.broadcast([(r.id, r.text.encode()) for r in tests.collect()])
+    schema = T.StructType([f for f in docs.schema.fields if f.name in keep] + _ADDED.fields)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block_tests = Tests(shared.value)
+        for batch in slices(batches, 2000):
+            found = _columns(*_scan(batch.column("text").cast(pa.binary()).to_pylist(), block_tests))
+            kept = [batch.column(c) for c in batch.schema.names if c in keep]
+            names = [c for c in batch.schema.names if c in keep]
+            yield pa.RecordBatch.from_arrays([*kept, *found], names=[*names, *_ADDED.fieldNames()])
+
+    return docs.mapInArrow(scan, schema)
+
+
+def _in_blocks(docs: DataFrame, tests: DataFrame, blocks: int, keep: list[str]) -> DataFrame:
+    """Blocks of tests one after the other, so that driver and tasks hold one of them at a time.
+
+    Rows are numbered and written once. A block writes what it finds, with numbers and without
+    texts; the finds of all blocks are joined to the rows and merged.
+    """
+    sc = docs.sparkSession.sparkContext
+    numbered = written(docs.select(F.monotonically_increasing_id().alias("dc_row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "numbered")
+    tests = written(tests, "tests")
+    texts = numbered.select("dc_row", F.col("row.text").alias("text"))
+    schema = T.StructType([texts.schema["dc_row"], *_ADDED.fields[2:]])
+    parts = []
+    for block in range(blocks):
+        here = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
+        shared = sc.broadcast([(r.id, r.text.encode()) for r in here.collect()])
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            block_tests = Tests(shared.value)
+            for batch in slices(batches, 2000):
+                found = _columns(*_scan(batch.column("text").cast(pa.binary()).to_pylist(), block_tests))
+                rows = pa.RecordBatch.from_arrays([batch.column("dc_row"), *found[2:]], names=schema.fieldNames())
+                yield rows.filter(pa.array([bool(n) for n in found[1].to_pylist()], pa.bool_()))
+
+        parts.append(written(texts.mapInArrow(scan, schema), "found"))
+        shared.destroy()
+    finds = parts[0]
+    for part in parts[1:]:
+        finds = finds.union(part)
+    # At most one row per block and document.
+    finds = finds.groupBy("dc_row").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("dc_items")))).alias("items"),
+        F.flatten(F.collect_list("dc_spans")).alias("spans"),
+    )
+    joined = numbered.join(finds, "dc_row", "left").select("row.*", F.col("items").alias("dc_items"), F.col("spans").alias("dc_spans"))
+    schema = T.StructType([f for f in docs.schema.fields if f.name in keep] + _ADDED.fields)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, hits, spans = [], [], []
+            for text, found in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("dc_spans").to_pylist()):
+                words.append(len((text or b"").translate(WORD_BYTES).split()))
+                ranges, hit = _joined(text or b"", found or [], [])
+                spans.append(ranges)
+                hits.append(hit)
+            items = [found or [] for found in batch.column("dc_items").to_pylist()]
+            names = [f.name for f in schema.fields[: -len(_ADDED)]]
+            kept = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, *_columns(words, hits, items, spans)], names=[*names, *_ADDED.fieldNames()])
+
+    return joined.mapInArrow(merge, schema)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` with what they share with ``benchmark`` (``item_id``, ``text``).
 
@@ -295,47 +400,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     and ``dc_spans`` (byte ranges to remove, one per run of hit words). ``keep`` names the columns
     to pass through, all by default; columns of these four names are replaced. A null or empty
     text has no words; a test without words is never found; a null id counts as an empty one;
-    tests with one id count as one. An empty benchmark finds nothing.
+    tests with one id count as one. An empty benchmark finds nothing. Tests go to the tasks in
+    blocks of about ``BLOCK_BYTES``, of which one is held at a time; a long test is cut into runs
+    that are dealt over the blocks. The order of the rows is kept in one block only.
     """
     added = _ADDED.fieldNames()
     tests = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text")
     ).distinct()  # repeated rows would all fall into one block
-    size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = size // BLOCK_BYTES + 1
+    limit = max(BLOCK_BYTES // 16, 1)
+    size = F.octet_length("text")
+    total, longest = tests.agg(F.sum(size), F.max(size)).first()
+    if (total or 0) >= BLOCK_BYTES and longest > limit:
+        tests = written(_cut_tests(tests, limit), "pieces")
+        total = tests.agg(F.sum(size)).first()[0]
+    blocks = (total or 0) // BLOCK_BYTES + 1
     keep = [c for c in (keep or docs.columns) if c not in added]
-    carried = list(dict.fromkeys([*keep, "text"]))
-    frame = docs.select([f"`{c}`" for c in carried])
-    for block in range(blocks):
-        here = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
-        shared = docs.sparkSession.sparkContext.broadcast([(r.id, r.text.encode()) for r in here.collect()])
-        out = keep if block == blocks - 1 else carried
-        schema = T.StructType([f for f in frame.schema.fields if f.name in out] + _ADDED.fields)
-
-        def scan(batches: Iterator[pa.RecordBatch], out=out, shared=shared) -> Iterator[pa.RecordBatch]:
-            block_tests = Tests(shared.value)
-            for batch in slices(batches, 2000):
-                texts = batch.column("text").cast(pa.binary()).to_pylist()
-                words, hits, items, spans = _scan(texts, block_tests)
-                if "dc_items" in batch.schema.names:
-                    before_items = batch.column("dc_items").to_pylist()
-                    before_spans = batch.column("dc_spans").to_pylist()
-                    for i, text in enumerate(texts):
-                        items[i] = sorted({*before_items[i], *items[i]})
-                        spans[i], hits[i] = _joined(text or b"", before_spans[i], spans[i])
-                span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                columns = [
-                    pa.array(words, pa.int64()),
-                    pa.array(hits, pa.int64()),
-                    pa.array(items, pa.list_(pa.string())),
-                    pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], span),
-                ]
-                kept = [batch.column(c) for c in batch.schema.names if c in out]
-                names = [c for c in batch.schema.names if c in out]
-                yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*names, *added])
-
-        frame = frame.mapInArrow(scan, schema)
-    return frame
+    frame = docs.select([f"`{c}`" for c in dict.fromkeys([*keep, "text"])])
+    return _in_one_block(frame, tests, keep) if blocks == 1 else _in_blocks(frame, tests, blocks, keep)
 
 
 def without_tests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

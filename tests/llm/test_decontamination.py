@@ -74,7 +74,7 @@ def test_blocks_of_tests_and_odd_rows(spark, odd, none, monkeypatch):
     rows = [(int(i), t) for i, t in items] + [(None, None), (3, "one two three four five six seven eight nine ten")]
     bench = spark.createDataFrame(rows, "item_id long, text string")
     monkeypatch.setattr(D, "BLOCK_BYTES", 60)
-    found = D.decontaminate(docs, bench).collect()
+    found = D.decontaminate(docs, bench).orderBy("doc_id").collect()
     expected = brute(texts, [*items, ("3", rows[-1][1])])
     assert [(r.dc_words, r.dc_hit, r.dc_items, len(r.dc_spans)) for r in found] == expected
     assert D.decontaminate(none, bench).collect() == []
@@ -94,3 +94,44 @@ def test_repeated_tests_do_not_fill_a_block(spark, monkeypatch):
     found = D.decontaminate(docs, bench).collect()
     assert [(r.dc_hit, r.dc_items) for r in found] == [(4, ["1", "2"])]
     assert [len(block) for block in sent] == [2]
+
+
+def test_long_tests_are_cut_at_overlaps():
+    rng = random.Random(12)
+    for _ in range(50):
+        text = " ".join(rng.choice(["a", "bb", "ccc", "dddd", "É" * 9]) for _ in range(rng.randint(0, 60)))
+        runs = D.pieces(text.encode(), rng.randint(1, 80))
+        windows = lambda w: {tuple(w[i : i + D.WINDOW]) for i in range(max(len(w) - D.WINDOW + 1, 1) if w else 0)}
+        assert set().union(*(windows(words(run.decode())) for run in runs)) == windows(words(text))
+
+
+def test_one_block_is_held_at_a_time(spark, monkeypatch):
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(400)]
+    # One test is longer than all blocks but one together.
+    items = [("9", " ".join(rng.choice(vocabulary) for _ in range(900)))]
+    items += [(str(i), " ".join(rng.choice(vocabulary) for _ in range(20))) for i in range(9)]
+    texts = [None, ""]
+    for _ in range(60):
+        name, test = rng.choice(items)
+        w, at = test.split(), rng.randint(0, 5)
+        texts.append(" ".join(["x", *w[at : at + rng.randint(5, 300)], "y", *rng.choice(items)[1].split()[:12]]))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    monkeypatch.setattr(D, "BLOCK_BYTES", 2000)
+    sizes, live, most, send = [], set(), [], type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        shared = send(self, value)
+        end = shared.destroy
+        shared.destroy = lambda *a: (live.discard(id(shared)), end(*a))
+        live.add(id(shared))
+        sizes.append(sum(len(text) for _, text in value))
+        most.append(len(live))
+        return shared
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    found = D.decontaminate(docs, bench, ["doc_id"]).orderBy("doc_id").collect()
+    assert [(r.dc_words, r.dc_hit, r.dc_items, len(r.dc_spans)) for r in found] == brute(texts, items)
+    assert len(sizes) >= 3 and max(most) == 1 and not live
+    assert max(sizes) < 2 * D.BLOCK_BYTES
