@@ -6,7 +6,8 @@ and cutting that order into equal runs gives shards whose row counts differ by o
 
 Numbering needs no source, and no sorted table, in one task: rows are dealt into small ranges of
 the hash (then of the fraction), counted per range, and numbered inside a range after the number
-of rows in earlier ranges.
+of rows in earlier ranges. A key that alone has more rows than a range is dealt over ranges of its
+own, which stand where the key stands.
 """
 
 from __future__ import annotations
@@ -29,6 +30,25 @@ def _shuffle_key(columns: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("\x1f", F.lit(str(seed)), *parts))
 
 
+def _split_hot_keys(dealt: DataFrame) -> DataFrame:
+    """Rows of hash ranges with ``floor`` and ``part``, which cut a range where it holds a hot key.
+
+    ``floor`` is the greatest hot key up to the row's own ('' before all of them). Rows of that key
+    are dealt over parts; rows after it are the last part.
+    """
+    hot = dealt.groupBy("source", "range", "key").agg(F.count("*").alias("n")).where(F.col("n") > RANGE_ROWS)
+    # At most one row for each RANGE_ROWS rows of the table.
+    hot = written(hot, "hot_keys")
+    if hot.isEmpty():
+        return dealt.withColumns({"floor": F.lit(""), "part": F.lit(0).cast("long")})
+    hot = hot.groupBy("source", "range").agg(F.collect_list(F.struct("key", "n")).alias("hot"))
+    up_to = F.array_max(F.filter(F.coalesce("hot", F.array()), lambda h: h["key"] <= F.col("key")))
+    cut = dealt.join(hot, ["source", "range"], "left").withColumn("up_to", up_to)
+    parts = F.expr(f"up_to.n div {RANGE_ROWS} + 1")
+    part = F.when(F.col("up_to.key") == F.col("key"), F.pmod("number", parts)).otherwise(F.coalesce(parts, F.lit(0)))
+    return cut.withColumns({"floor": F.coalesce("up_to.key", F.lit("")), "part": part.cast("long")}).drop("hot", "up_to")
+
+
 def interleave(docs: DataFrame, shards: int, stratum: str, ids: list[str], seed: int = 0) -> DataFrame:
     """``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (its place in the shard, from 0).
 
@@ -40,18 +60,22 @@ def interleave(docs: DataFrame, shards: int, stratum: str, ids: list[str], seed:
     keep = [c for c in docs.columns if c not in ("shard", "slot")]
     row = F.struct(*[F.col(f"`{c}`") for c in keep])
     source = F.coalesce(F.concat(F.lit("s"), F.col(f"`{stratum}`").cast("string")), F.lit("n"))
-    rows = written(docs.select(source.alias("source"), _shuffle_key(ids, seed).alias("key"), row.alias("row")), "interleave")
+    # The number of a row deals equal rows over ranges; it is written, so that it is the same on every reading.
+    number = F.monotonically_increasing_id().alias("number")
+    rows = written(docs.select(source.alias("source"), _shuffle_key(ids, seed).alias("key"), number, row.alias("row")), "interleave")
     total = rows.count()
     ranges = total // RANGE_ROWS + 1
 
     hashed = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     dealt = rows.withColumn("range", F.floor(hashed * ranges / F.lit(1 << 32)))
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy("source", "range").agg(F.count("*").alias("n"))
+    places = ["range", "floor", "part"]
+    dealt = _split_hot_keys(dealt)
+    before = Window.partitionBy("source").orderBy(*places).rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("source", *places).agg(F.count("*").alias("n"))
     sizes = counts.groupBy("source").agg(F.sum("n").alias("size"))
     offsets = counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).join(sizes, "source").drop("n")
-    inside = Window.partitionBy("source", "range").orderBy("key")
-    ranked = dealt.withColumn("rank", F.row_number().over(inside)).join(offsets, ["source", "range"])
+    inside = Window.partitionBy("source", *places).orderBy("key")
+    ranked = dealt.withColumn("rank", F.row_number().over(inside)).join(offsets, ["source", *places])
     rank = F.col("rank") + F.col("offset")
     placed = ranked.select("source", "key", "row", ((2 * rank - 1).cast("double") / (2 * F.col("size"))).alias("fraction"))
     placed = placed.withColumn("range", F.floor(F.col("fraction") * ranges))
