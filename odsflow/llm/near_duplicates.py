@@ -253,14 +253,12 @@ def _links(left: list[np.ndarray], right: list[np.ndarray] | None) -> Iterator[t
     common = spread[column] > RARE
     rows, cols = owner[common], np.unique(column[common], return_inverse=True)[1]
     n_cols = int(cols.max()) + 1 if len(cols) else 0
-    # Pairs of texts that share a rare shingle, once for each.
-    rare_rows, rare_cols = owner[~common & (spread[column] > 1)], column[~common & (spread[column] > 1)]
-    codes = [np.empty(0, np.int64)]
-    for gap in range(1, RARE):
-        same = rare_cols[gap:] == rare_cols[:-gap]
-        a, b = rare_rows[:-gap][same], rare_rows[gap:][same]
-        codes += [a * len(sets) + b, b * len(sets) + a]
-    codes, times = np.unique(np.concatenate(codes), return_counts=True)
+    # Rare shingles are held sorted, and each text knows its places among them.
+    rare = ~common & (spread[column] > 1)
+    rare_rows, rare_cols = owner[rare], column[rare]
+    places = np.argsort(rare_rows, kind="stable")
+    of_row = np.searchsorted(rare_rows[places], np.arange(len(left) + 1))
+    del flat, owner, order, head, column, rare
     tile = max(1, min(1024, 8_000_000 // max(width, 1)))
     by_col = np.argsort(cols, kind="stable")
     rows, cols = rows[by_col], cols[by_col]
@@ -273,15 +271,21 @@ def _links(left: list[np.ndarray], right: list[np.ndarray] | None) -> Iterator[t
             dense = np.zeros((len(sets), min(step, n_cols - c)), np.float32)
             dense[rows[a:b], cols[a:b] - c] = 1
             shared += dense[start:end] @ dense[first:last].T
-        a, b = np.searchsorted(codes, [start * len(sets), end * len(sets)])
-        other = codes[a:b] % len(sets)
-        here = (other >= first) & (other < last)
-        shared[codes[a:b][here] // len(sets) - start, other[here] - first] += times[a:b][here]
-        linked = 9 * shared >= 4 * (sizes[start:end, None] + sizes[None, first:last])
-        if right is None:
-            linked[np.arange(end - start), np.arange(start, end)] = False
+        # The texts of this tile and all that share a rare shingle with them: 1 to 15 places before or after.
+        here = places[of_row[start] : of_row[end]]
+        for gap in (*range(1 - RARE, 0), *range(1, RARE)):
+            there = here + gap
+            near = (there >= 0) & (there < len(rare_cols))
+            mine, there = here[near], there[near]
+            same = rare_cols[mine] == rare_cols[there]
+            mine, other = rare_rows[mine[same]], rare_rows[there[same]]
+            wanted = (other >= first) & (other < last)
+            np.add.at(shared.reshape(-1), (mine[wanted] - start) * width + other[wanted] - first, np.float32(1))
         for i in range(start, end):
-            yield i, np.flatnonzero(linked[i - start])
+            linked = 9 * shared[i - start].astype(np.int64) >= 4 * (sizes[i] + sizes[first:last])
+            if right is None:
+                linked[i] = False
+            yield i, np.flatnonzero(linked)
 
 
 def _compare(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

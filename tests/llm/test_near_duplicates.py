@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -138,3 +139,23 @@ def test_recall_at_the_threshold_in_crowded_nodes(spark, monkeypatch, common):
     staged, classes = N.near_classes(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, rid string"))
     found = classes.where("n_links > 0").count()
     assert found >= 2 * 250 * 0.99
+
+
+def test_a_comparison_of_shingles_found_in_sixteen_texts_holds_no_list_of_their_pairs():
+    rng = np.random.default_rng(3)
+    texts, shingles = 1600, 60
+    columns = rng.integers(0, 1 << 63, texts * shingles // 16, dtype=np.uint64)
+    rows = np.concatenate([rng.permutation(texts) for _ in range(shingles)])
+    found = [np.unique(np.repeat(columns, 16)[rows == text]) for text in range(texts)]
+    found[7], found[1500] = found[3], found[3][1:]  # linked, across any two sides as well
+    for side in (np.zeros(texts, int), np.repeat([1, 2], texts // 2)):
+        tracemalloc.start()
+        links, least = N._compare(np.arange(texts), found, side)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        matrix = 1024 * texts * 4 if not side.any() else 800 * 800 * 4
+        assert peak < matrix + 200 * texts * shingles, peak
+        expected = np.zeros(texts, int)
+        expected[[3, 7, 1500]] = (1, 1, 2) if side.any() else 2
+        assert links.tolist() == expected.tolist()
+        assert set(least[[3, 7, 1500]].tolist()) == {3} and len(set(least.tolist())) == texts - 2
