@@ -30,6 +30,15 @@ def test_merged_bitmaps_count_exactly(spark):
     assert empty.count() == 0 and bitmaps.distinct_counts(empty, [], ["n"]).first().n == 0
 
 
+def test_bitmaps_are_neither_built_nor_merged_by_sorting(spark):
+    rows_of = spark.range(2000).select((F.col("id") % 5).alias("k"), (F.col("id") * 40_000).alias("id"))
+    ids = bitmaps.id_bitmaps(rows_of, ["k"], {"n": "id"})
+    counts = bitmaps.distinct_counts(ids, ["k"], ["n"])
+    assert "SortAggregate" not in plan(counts) and "ObjectHashAggregate" not in plan(counts)
+    assert {r.n for r in counts.collect()} == {400}
+    assert ids.agg(F.max(F.length(F.col("bits").cast("string")))).first()[0] <= 20
+
+
 ITEMS = "id long, order_id long, user_id long, product_id long, status string, created_at timestamp, sale_price double"
 
 
