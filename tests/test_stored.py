@@ -211,3 +211,31 @@ def test_entry_without_libraries_of_the_training_data_operators(missing):
     code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; q = e.queries(); assert 'sessions' in q and set(e.oracle_sql()) <= set(q)"
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120)
+
+
+def bare_and_carried(spark):
+    """Items without and with what their orders say, among them items without an order or with an unknown one."""
+    day = lambda d: dt.datetime(2024, 1, d)
+    orders = spark.createDataFrame(
+        [(10, 7, day(1), "Shipped", 2), (11, 8, day(1), "Complete", 1), (12, None, day(2), "Shipped", 1), (13, 7, day(1), "Shipped", 1)],
+        "order_id long, user_id long, created_at timestamp, status string, num_of_item int",
+    )
+    items = spark.createDataFrame(
+        [(1, 10, 1, "Shipped", 5.0), (2, 10, 1, "Returned", 3.0), (3, 11, 2, "Cancelled", None), (4, 12, 9, "Shipped", 4.0),
+         (5, 13, 1, None, 1.0), (6, None, 1, "Shipped", 2.0), (7, 99, 1, "Shipped", 2.5), (8, 10, 2, "Shipped", 7.0)],
+        "id long, order_id long, product_id long, status string, sale_price double",
+    )
+    products = spark.createDataFrame([(1, "a", "x", 1.0), (2, "b", "x", 2.0)], "product_id long, category string, department string, cost double")
+    users = spark.createDataFrame([(7, "FR", "F"), (8, "FR", "F")], "user_id long, country string, gender string")
+    return items, items.join(orders.select("order_id", "user_id", "created_at"), "order_id", "left"), orders, products, users
+
+
+def test_flat_sales_of_items_that_get_their_user_from_the_order(spark, no_broadcast):
+    bare, carried, orders, products, users = bare_and_carried(spark)
+    times = {c: F.lit(None).cast("timestamp") for c in ("shipped_at", "delivered_at", "returned_at")} | {"inventory_item_id": F.col("id")}
+    more = {c: F.lit(c) for c in ("name", "brand", "sku")} | {"retail_price": F.lit(3.0), "distribution_center_id": F.lit(1)}
+    products = products.withColumns(more)
+    users = users.withColumns({c: F.lit(c) for c in ("age", "city", "state", "traffic_source")})
+    centres = spark.createDataFrame([(1, "here")], "id int, name string")
+    found = sales.sales_flat(bare.withColumns(times), products, users, centres, orders)
+    assert rows(found) == rows(sales.sales_flat(carried.withColumns(times), products, users, centres, orders))
