@@ -122,6 +122,7 @@ def sales_summary(
     users: DataFrame,
     keys: tuple[str, ...] = tuple(_HOURLY_KEYS),
     measures: tuple[str, ...] = tuple(_HOURLY_MEASURES),
+    orders: DataFrame | None = None,
 ) -> DataFrame:
     """Sales by any of the summary's keys.
 
@@ -129,17 +130,31 @@ def sales_summary(
     items too: sums would survive a second grouping, but distinct counts would not. Tables
     that no key and no measure needs are not joined; each has one row per key, so that
     leaves the result as it is.
+
+    Items without ``user_id`` and ``created_at`` get them from ``orders``, one row per order. The
+    items of an order then meet where it was joined and are grouped there: an order is one row of
+    each group, and only customers are left to be counted as distinct.
     """
     needs = {_HOURLY_KEYS[key][0] for key in keys}
     if "product" in needs or any(_HOURLY_MEASURES[m][0] for m in measures):
         items = lookup_join(items, products.select("product_id", "category", "department", "cost"), "product_id")
-    if "user" in needs:
-        items = lookup_join(items, users.select("user_id", "country", "gender"), "user_id")
+    buyers = users.select("user_id", "country", "gender")
+    if orders is not None:
+        orders = orders.select("order_id", "user_id", "created_at")
+        items = lookup_join(items, lookup_join(orders, buyers, "user_id") if "user" in needs else orders, "order_id")
+    elif "user" in needs:
+        items = lookup_join(items, buyers, "user_id")
     # The hour implies the date, so the date need not widen the grouping key.
     implied = {"order_date"} if {"order_hour", "order_date"} <= set(keys) else set()
-    grouped = items.groupBy(*[_HOURLY_KEYS[key][1]().alias(key) for key in keys if key not in implied]).agg(
-        *[_HOURLY_MEASURES[m][1]().alias(m) for m in measures]
-    )
+    by = [_HOURLY_KEYS[key][1]().alias(key) for key in keys if key not in implied]
+    made = {m: _HOURLY_MEASURES[m][1]() for m in measures}
+    if orders is not None:
+        sums = [m for m in measures if m in ADDITIVE]
+        items = items.groupBy(*by, "order_id", "user_id").agg(*[made[m].alias(m) for m in sums])
+        by = [key for key in keys if key not in implied]
+        made |= {m: F.sum(m) for m in sums}
+        made |= {"total_orders": F.count("order_id")} if "total_orders" in made else {}
+    grouped = items.groupBy(*by).agg(*[column.alias(m) for m, column in made.items()])
     if implied:
         grouped = grouped.withColumn("order_date", F.col("order_hour").cast("date"))
     return grouped.select(*keys, *measures)

@@ -65,7 +65,9 @@ _HOURLY_ITEMS = ("id", "order_id", "user_id", "product_id", "status", "created_a
 
 @add("sales_hourly", f"SELECT * REPLACE ({_doubles(*_HOURLY_MONEY)}) FROM sales_hourly")
 def _(t):
-    return sales.sales_summary(t.order_items(*_HOURLY_ITEMS), t.products(), t.users("user_id", "country", "gender"))
+    items = t.order_items("id", "order_id", "product_id", "status", "sale_price")
+    orders = t.orders("order_id", "user_id", "created_at")
+    return sales.sales_summary(items, t.products(), t.users("user_id", "country", "gender"), orders=orders)
 
 
 def _rolled(t, period):

@@ -230,6 +230,15 @@ def bare_and_carried(spark):
     return items, items.join(orders.select("order_id", "user_id", "created_at"), "order_id", "left"), orders, products, users
 
 
+def test_hourly_sales_of_items_that_get_their_user_from_the_order(spark, no_broadcast):
+    bare, carried, orders, products, users = bare_and_carried(spark)
+    found = sales.sales_summary(bare, products, users, orders=orders)
+    assert "Expand" not in plan(found)
+    assert rows(found) == rows(sales.sales_summary(carried, products, users))
+    few = (("order_date",), ("total_orders", "total_customers", "net_profit"))
+    assert rows(sales.sales_summary(bare, products, users, *few, orders=orders)) == rows(sales.sales_summary(carried, products, users, *few))
+
+
 def test_flat_sales_of_items_that_get_their_user_from_the_order(spark, no_broadcast):
     bare, carried, orders, products, users = bare_and_carried(spark)
     times = {c: F.lit(None).cast("timestamp") for c in ("shipped_at", "delivered_at", "returned_at")} | {"inventory_item_id": F.col("id")}
